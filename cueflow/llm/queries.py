@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, token_counts
+from . import bpe_codec, html_text, near_dups, secret_scan, token_counts
 
 #: DuckDB SQL by query name.
 SQL: dict[str, str] = {}
@@ -14,6 +14,9 @@ SQL: dict[str, str] = {}
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": secret_scan.op1_secret_scan,
+        "op2_near_dups": near_dups.op2_near_dups,
+        "op3_html_text": html_text.op3_html_text,
         "op6_token_counts": token_counts.op6_token_counts,
         "op7_bpe_codec": bpe_codec.op7_bpe_codec,
     }
