@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, html_text, near_dups, secret_scan, token_counts
+from . import bpe_codec, html_text, near_dups, quality_rules, secret_scan, shards, token_counts
 
 #: DuckDB SQL by query name.
 SQL: dict[str, str] = {}
@@ -19,6 +19,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_html_text": html_text.op3_html_text,
         "op6_token_counts": token_counts.op6_token_counts,
         "op7_bpe_codec": bpe_codec.op7_bpe_codec,
+        "op8_shards": shards.op8_shards,
+        "op9_quality_rules": quality_rules.op9_quality_rules,
     }
 
 
