@@ -2,22 +2,23 @@
 
 A document's set holds its distinct word shingles (words are runs without ASCII
 white space, A-Z lower-cased). Equal sets collapse to one *node* first. A node's
-sketch has one 16-bit register for each of 64 buckets: the leading-zero count
+sketch has one 16-bit register for each of 128 buckets: the leading-zero count
 and ten mantissa bits of the least hash that fell in the bucket, zero for an
-empty one. Three registers make a band; nodes that agree on a band (not an empty
+empty one. Four registers make a band; nodes that agree on a band (not an empty
 one) become candidates:
 
-1. each node of a band against the band's least node, so that a band of n nodes
-   makes n-1 pairs and never all of them;
-2. candidates pass an estimate of the similarity, corrected for registers that
-   agree by chance, with five standard errors of slack;
-3. the rest are confirmed on their full sets, and connected;
-4. bands that still hold nodes of different components give their pairs *across*
-   components, which go through 2 and 3 as well. So each pair of a band is
-   either confirmed, refuted, or already connected.
+1. Each node of a band goes against the band's least node, so that a band of n
+   nodes makes n-1 pairs. Pairs pass an estimate of the similarity, corrected
+   for registers that agree by chance, with five standard errors of slack; the
+   rest are confirmed on their full sets and connected.
+2. Bands that still hold nodes of different components are merged into groups
+   by their largest component. In blocks of bounded size the sketches of a
+   group are compared, then the full sets of the nodes that have a likely
+   partner; a block returns the links that connect it, not its pairs. So each
+   pair of nodes of a band is confirmed, refuted, or already connected.
 
-Two sets at a similarity of exactly 0.8 share none of the 21 bands with a
-probability of (1 - 0.8 ** 3) ** 21 = 3e-7, and less above it.
+Two sets at a similarity of exactly 0.8 share none of the 32 bands with a
+probability of (1 - 0.8 ** 4) ** 32 = 5e-8, and less above it.
 
 Null text is empty text; documents without words have an empty set and are
 linked with nothing. Repeated rows are kept, each with its own result row; rows
@@ -28,6 +29,7 @@ id (kept is then true). Very long texts are read whole. An empty table gives an
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -38,11 +40,15 @@ from pyspark.sql import functions as F
 
 from .common import documents, fresh, small_batches, stash, text_of
 
-BUCKETS, BAND, BANDS = 64, 3, 21
+BUCKETS, BAND, BANDS = 128, 4, 32
 MANTISSA_BITS = 10
 PERCENT = 80
 #: Standard errors by which an estimate may fall short of the threshold.
 SLACK = 5.0
+#: Nodes of a group that are compared with each other in one task.
+BLOCK = 2000
+#: Rows wanted from the documents are broadcast up to this number, else joined with a shuffle.
+BROADCAST_ROWS = 400_000
 #: Word hashes kept in a worker at a time.
 CACHE_WORDS = 1 << 19
 
@@ -174,16 +180,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(node, set) of the wanted nodes, from the whole text of one row of each."""
+    """(node, set) of the wanted nodes, from the whole text of one row of each; written to the shared folder."""
 
     @F.pandas_udf("binary")
     def made(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, size).tobytes() for t in texts])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
-    wanted = wanted.select("node", F.col("row.key").alias("wkey"), F.col("row.id").alias("wid"))
+    wanted = stash(wanted.select("node", F.col("row.key").alias("wkey"), F.col("row.id").alias("wid")))
+    if wanted.count() <= BROADCAST_ROWS:  # some tens of bytes each
+        wanted = F.broadcast(wanted)
     found = rows.join(wanted, (rows.key == wanted.wkey) & rows.id.eqNullSafe(wanted.wid)).select("node", made("text").alias("set"))
-    return found.groupBy("node").agg(F.first("set").alias("set"))
+    return stash(found.groupBy("node").agg(F.first("set").alias("set")))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -194,8 +202,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     longest path. Nothing is collected but two numbers a step.
     """
     edges = stash(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct())
-    seen = None
-    while True:
+    seen = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    while seen[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
@@ -213,47 +221,148 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = PERCENT) -> DataFrame:
     """One row for each row of docs: id, n_shingles, component_id, kept. See the module's docstring."""
     made, name = sketches(docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")), "text", size)
-    rows = stash(made.select("id", F.xxhash64("text").alias("key"), f"{name}.*"))
+    rows = stash(made.select("id", F.xxhash64("text").alias("key"), F.col(f"{name}.n").alias("n"), F.col(f"{name}.node").alias("digest"), F.col(f"{name}.sketch").alias("sketch")))
     full = rows.where("n > 0")
-    nodes = stash(full.groupBy("node").agg(F.min("id").alias("label"), F.min(F.struct("id", "key")).alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    edges, sets = _edges(docs, nodes, id_col, text_col, size, percent)
-    roots = components(edges)
+    nodes = full.groupBy("digest").agg(F.min("id").alias("label"), F.min(F.struct("id", "key")).alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = stash(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbered once, as written
+    roots = components(_edges(docs, nodes, id_col, text_col, size, percent))
     ids = nodes.select("node", "label").join(roots, "node").select("node", "root", "label")
     found = ids.join(ids.groupBy("root").agg(F.min("label").alias("component_id")), "root").select("node", F.col("component_id").alias("joined"))
-    own = nodes.select("node", "label").join(found, "node", "left").select("node", F.coalesce("joined", "label").alias("component_id"))
-    out = full.join(own, "node").select("id", "n", "component_id").unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
+    own = nodes.select("node", "digest", "label").join(found, "node", "left").select("digest", F.coalesce("joined", "label").alias("component_id"))
+    out = full.select("id", "n", "digest").join(own, "digest").select("id", "n", "component_id")
+    out = out.unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _edges(docs, nodes, id_col, text_col, size, percent) -> tuple[DataFrame, DataFrame]:
-    """Confirmed links between nodes, enough of them to connect all that are linked; the sets read for that."""
+def _edges(docs, nodes, id_col, text_col, size, percent) -> DataFrame:
+    """Confirmed links (a, b) between nodes, enough of them to connect all that are linked."""
     width = 2 * BAND
     band = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.substring("sketch", i * width + 1, width).alias("r")) for i in range(BANDS)))).alias("band")
     bands = nodes.select("node", band).where(F.col("band.r") != F.lit(bytes(width))).select("node", F.xxhash64("band.i", "band.r").alias("key"))
     least = bands.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1").select("key", "least")
     shared = stash(bands.join(least, "key"))
+    row = lambda x: nodes.select("node", "row").join(x, "node", "left_semi")
 
     pairs = shared.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     likely = stash(_likely(pairs, nodes, percent))
     known = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    row = lambda x: nodes.select("node", "row").join(x, "node", "left_semi")
-    sets = stash(_full_sets(docs, row(known), id_col, text_col, size))
+    sets = _full_sets(docs, row(known), id_col, text_col, size)
     edges = stash(_confirmed(likely, sets, percent))
 
     roots = components(edges)
-    placed = stash(shared.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
+    placed = shared.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = stash(placed)
     mixed = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots")).where("roots > 1").select("key", "major")
-    open_ = placed.join(mixed, "key")
-    minor = open_.where("root != major").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    other = open_.select("key", F.col("node").alias("y"), F.col("root").alias("ry"), (F.col("root") == F.col("major")).alias("top"))
-    across = minor.join(other, "key").where((F.col("rx") != F.col("ry")) & (F.col("top") | (F.col("x") < F.col("y"))))
-    across = across.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(likely, ["a", "b"], "left_anti")
-    late = stash(_likely(across, nodes, percent))
-    if not late.isEmpty():
-        fresh_nodes = late.select(F.col("a").alias("node")).union(late.select("b")).distinct().join(sets, "node", "left_anti")
-        sets = sets.unionByName(stash(_full_sets(docs, row(fresh_nodes), id_col, text_col, size)))
-        edges = edges.unionByName(stash(_confirmed(late, sets, percent)))
-    return edges, sets
+    groups = stash(placed.join(mixed, "key").select("major", "node", "root").distinct())
+
+    at = groups.join(nodes.select("node", "sketch", "n"), "node")
+    with_partner = stash(_in_blocks(at, "node long, root long, sketch binary, n long", _likely_nodes(percent), "major long, node long, root long").distinct())
+    known = with_partner.select("node").distinct().join(sets, "node", "left_anti")
+    sets = sets.unionByName(_full_sets(docs, row(known), id_col, text_col, size))
+    late = _in_blocks(with_partner.join(sets, "node"), "node long, root long, set binary", _block_links(percent), "a long, b long")
+    return edges.unionByName(stash(late))
+
+
+def _in_blocks(groups: DataFrame, schema: str, one: Callable[..., dict[str, np.ndarray]], out: str) -> DataFrame:
+    """``one`` over each pair of blocks of each group (column major), both of at most about BLOCK nodes.
+
+    Rows are dealt by (group, block pair) and sorted, and a task reads its
+    groups as a stream; it holds two blocks at a time, however large a group is.
+    """
+    names = [x.split()[0] for x in schema.split(", ")]
+    blocks = groups.groupBy("major").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
+    dealt = groups.join(blocks, "major").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("major", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), *names)
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(n, "major", "p", "q").sortWithinPartitions("major", "p", "q", "node")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (major, _, _), cols in _groups(batches, ["major", "p", "q"], names):
+            if len(cols["node"]) > 1:
+                found = one(major, cols)
+                if len(next(iter(found.values()))):
+                    yield pd.DataFrame(found)
+
+    return dealt.mapInPandas(run, out)
+
+
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str], names: list[str]) -> Iterator[tuple[tuple, dict[str, np.ndarray]]]:
+    """Runs of equal keys in sorted batches, as arrays by column."""
+    held: list[dict[str, np.ndarray]] = []
+    last: tuple | None = None
+    whole = lambda: {c: np.concatenate([x[c] for x in held]) if len(held) > 1 else held[0][c] for c in names}
+    for batch in batches:
+        if not len(batch):
+            continue
+        k = batch[keys].to_numpy()
+        cols = {c: batch[c].to_numpy() for c in names}
+        starts = np.concatenate([[0], np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1, [len(k)]])
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            key = tuple(k[lo].tolist())
+            if last is not None and key != last:
+                yield last, whole()
+                held = []
+            held.append({c: v[lo:hi] for c, v in cols.items()})
+            last = key
+    if held:
+        yield last, whole()
+
+
+def _likely_nodes(percent: int) -> Callable[..., dict[str, np.ndarray]]:
+    """Nodes of a block pair that have a likely partner of another component: sizes and registers, as in may_link."""
+    t = percent / 100
+
+    def one(major: int, cols: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        sketch = np.frombuffer(b"".join(cols["sketch"]), np.uint16).reshape(len(cols["node"]), BUCKETS)
+        n, root = cols["n"].astype(np.int64), cols["root"]
+        keep = np.zeros(len(n), bool)
+        for i in range(len(n) - 1):
+            js = np.flatnonzero((root[i + 1 :] != root[i]) & (100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i]))) + i + 1
+            if len(js):
+                a, b = sketch[i], sketch[js]
+                filled = np.maximum(1, ((a | b) > 0).sum(axis=1))
+                agree = ((a == b) & (a > 0)).sum(axis=1) / filled  # at least the corrected value
+                hit = js[agree >= t - SLACK * np.sqrt(t * (1 - t) / filled)]
+                if len(hit):
+                    keep[i] = keep[hit] = True
+        at = np.flatnonzero(keep)
+        return {"major": np.full(len(at), major, np.int64), "node": cols["node"][at], "root": root[at]}
+
+    return one
+
+
+def _block_links(percent: int) -> Callable[..., dict[str, np.ndarray]]:
+    """Links that connect the components of a block pair: shared shingles are counted through the block's inverted index."""
+
+    def one(_: int, cols: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        sets = [np.frombuffer(x, np.uint64) for x in cols["set"]]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        values, term = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(term, kind="stable")
+        postings, begin = owner[order], np.searchsorted(term[order], np.arange(len(values) + 1))
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        parent = {r: r for r in cols["root"].tolist()}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out: list[tuple[int, int]] = []
+        for i in range(1, len(sets)):
+            mine = term[at[i] : at[i + 1]]
+            both = np.bincount(np.concatenate([postings[begin[x] : begin[x + 1]] for x in mine]), minlength=len(sets))[:i]
+            for j in np.flatnonzero(100 * both >= percent * (sizes[i] + sizes[:i] - both)).tolist():
+                a, b = find(int(cols["root"][i])), find(int(cols["root"][j]))
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    out.append((int(cols["node"][i]), int(cols["node"][j])))
+        return {"a": np.array([x for x, _ in out], np.int64), "b": np.array([y for _, y in out], np.int64)}
+
+    return one
 
 
 def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
