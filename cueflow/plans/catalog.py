@@ -1,72 +1,14 @@
-"""The query catalogue: (spark, sf_dir) -> DataFrame by name, with SQL beside it."""
+"""The query catalogue: every module of registered queries, gathered."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from cueflow.sources.tables import table
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Add a query; ``sql`` is its DuckDB twin."""
-
-    def add(fn: Query) -> Query:
-        if name in _QUERIES:
-            raise ValueError(f"query {name} is registered twice")
-        _QUERIES[name] = fn
-        if sql is not None:
-            _SQL[name] = sql
-        return fn
-
-    return add
-
-
-@register(
-    "timing_defects",
-    """
-    with s as (
-      select user_id as chapter, event_id, cast(floor(value) as bigint) as stamp from events
-    ), d as (
-      select chapter, stamp - lag(stamp) over (partition by chapter order by event_id) as delta from s
-    )
-    select chapter, count(*) as n_verses,
-      count(*) filter (where delta = 0) as n_dupes,
-      count(*) filter (where delta < 0) as n_backwards,
-      count(*) filter (where delta > 120) as n_gaps
-    from d group by chapter having count(*) >= 2
-    """,
-)
-def timing_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Defect counts for each chapter of verse stamps."""
-    stamps = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("chapter"), "event_id", F.floor("value").cast("bigint").alias("stamp")
-    )
-    w = Window.partitionBy("chapter").orderBy("event_id")
-    delta = stamps.withColumn("delta", F.col("stamp") - F.lag("stamp").over(w))
-    return (
-        delta.groupBy("chapter")
-        .agg(
-            F.count("*").alias("n_verses"),
-            F.count_if(F.col("delta") == 0).alias("n_dupes"),
-            F.count_if(F.col("delta") < 0).alias("n_backwards"),
-            F.count_if(F.col("delta") > 120).alias("n_gaps"),
-        )
-        .where("n_verses >= 2")
-    )
+from cueflow.plans import joins, planning, sequence, text, timing  # noqa: F401  (they register their queries)
+from cueflow.plans.registry import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)
