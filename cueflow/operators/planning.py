@@ -33,6 +33,7 @@ def expand_spec(specs: DataFrame, spec_id: str, spec: str, books: DataFrame) ->
     are dropped; a book alone means all of its chapters. NT, OT and ALL stand for
     books only as the whole spec. ``books`` has book, canon and n_chapters.
     """
+    specs = specs.select(spec_id, spec)
     whole = F.upper(F.trim(spec))
     named = whole.isin("NT", "OT", "ALL")
     testament = specs.where(named).join(books, (whole == F.col("canon")) | (whole == "ALL"))
