@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cueflow.plans import joins, planning, sequence, text, timing  # noqa: F401  (they register their queries)
+from cueflow.plans import discovery, joins, planning, sequence, text, timing  # noqa: F401  (they register their queries)
 from cueflow.plans.registry import QUERIES, SQL, Query
 
 
