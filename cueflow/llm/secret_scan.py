@@ -105,6 +105,11 @@ def identifiers(words: list[str], n: int, seed: int = 12) -> list[str]:
     out = []
     for i in range(n):
         w = rnd.choices(words, k=rnd.randint(2, 4))
+        if i % 12 == 11:  # times and versions are ordinary, too
+            y, m, d = rnd.randint(1990, 2039), rnd.randint(1, 12), rnd.randint(1, 28)
+            sep = rnd.choice(("-", "/", "_"))
+            out.append(rnd.choice((f"{y}{sep}{m:02d}{sep}{d:02d}T{rnd.randint(0, 23):02d}{sep}{rnd.randint(0, 59):02d}{sep}00Z", f"{w[0]}-{y}{sep}{m:02d}{sep}{d:02d}", f"{w[0]}-v{m}_{d}_{rnd.randint(0, 99)}")))
+            continue
         joined = ("_".join(w), "-".join(w), "/".join(w), w[0] + "".join(x.capitalize() for x in w[1:]), "".join(w))[i % 5]
         out.append(joined + (str(rnd.randint(0, 2100)) if rnd.random() < 0.5 else ""))
     return out
