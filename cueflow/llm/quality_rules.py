@@ -44,11 +44,13 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, s
     Repeated windows are found by sorting (hash of three words, position) within
     the text, and only where some hash occurs twice.
     """
-    raw, words, tri, sorted_, name = (fresh(df, x) for x in ("raw", "words", "tri", "sorted", "counts"))
+    raw, rest, words, tri, sorted_, name = (fresh(df, x) for x in ("raw", "rest", "words", "tri", "sorted", "counts"))
     text = F.col(raw)
     out = df.withColumn(raw, text_of(text_col))
-    trimmed = F.trim(F.translate(text, SPACE, " " * len(SPACE)))
-    out = out.withColumn(words, F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, " +")))
+    # what is neither a lower-case ASCII letter nor a space: the characters that are counted, in a short string
+    out = out.withColumn(rest, F.translate(text, "abcdefghijklmnopqrstuvwxyz ", ""))
+    trimmed = F.btrim(text, F.lit(SPACE))
+    out = out.withColumn(words, F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[ \t-\r]+")))
     w = F.col(words)
     hashed = F.slice(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))), F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
     out = out.withColumn(tri, hashed)
@@ -62,25 +64,26 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, s
         lambda i: i.isNotNull(),
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform(hits, lambda i: F.array(i, i + 1, i + 2)))))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(F.translate(x, SPACE, " " * len(SPACE))) != "")
-    size = F.length(text)
+    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
+    short = F.col(rest)
+    count = lambda chars: F.length(short) - F.length(F.translate(short, chars, ""))
     counts = {
         "n_words": F.size(w),
-        "word_chars": size - (size - F.length(F.translate(text, SPACE, ""))),
-        "n_symbols": size - F.length(F.translate(text, SYMBOLS, "")),
+        "word_chars": F.length(F.replace(text, F.lit(" "), F.lit(""))) - count(SPACE[1:]),
+        "n_symbols": count(SYMBOLS),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": F.when(pairs.isNull(), F.lit(0)).otherwise(covered),
         "n_lines": F.size(lines),
-        "n_upper": size - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")),
-        "n_marks": size - F.length(F.translate(text, "!?", "")),
-        "n_bars": size - F.length(F.translate(text, "|", "")),
-        "n_digits": size - F.length(F.translate(text, "0123456789", "")),
-        "n_stops": size - F.length(F.translate(text, ".", "")),
+        "n_upper": count("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        "n_marks": count("!?"),
+        "n_bars": count("|"),
+        "n_digits": count("0123456789"),
+        "n_stops": count("."),
         "n_distinct": F.size(F.array_distinct(w)),
     }
     struct = F.struct(*(c.cast("long").alias(k) for k, c in counts.items()))
     # one row from each: a filter on a generated column is not pushed into the expressions and evaluated in their lambdas
-    return out.withColumn(name, F.explode(F.array(struct))).drop(raw, words, tri, sorted_), name
+    return out.withColumn(name, F.explode(F.array(struct))).drop(raw, rest, words, tri, sorted_), name
 
 
 #: Features by name, from the struct of counts.
