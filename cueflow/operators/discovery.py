@@ -76,17 +76,21 @@ def source_type(contributed: str, external: str) -> Column:
 
 
 def usable_text(work: DataFrame, catalog_texts: DataFrame, keys: list[str]) -> DataFrame:
-    """Work whose text the catalogue lists; all of it if the catalogue is empty (unreachable)."""
-    known = catalog_texts.agg((F.count("*") == 0).alias("__open"))  # one row
-    hit = catalog_texts.select(*keys).distinct().withColumn("__hit", F.lit(True))
-    return work.join(hit, keys, "left").join(F.broadcast(known)).where(F.col("__open") | F.col("__hit")).drop("__open", "__hit")
+    """Work whose text the catalogue lists; all of it if the catalogue is empty (unreachable). Asks for one row of the catalogue."""
+    if catalog_texts.isEmpty():
+        return work
+    return work.join(catalog_texts.select(*keys), keys, "left_semi")
 
 
 def version_ids(ids: DataFrame, versions: DataFrame) -> DataFrame:
-    """Version of an id: without its language prefix if that is a version, else the longest version that it ends with, else itself."""
+    """Version of an id: without its language prefix if that is a version, else the longest version that it ends with, else itself.
+
+    Ids are short: each meets the versions through its suffixes, by equality.
+    """
     bare = F.when(F.col("id").startswith(F.col("iso")), F.expr("substring(id, length(iso) + 1)"))
-    j = ids.withColumn("bare", bare).join(F.broadcast(versions.select("version")), F.col("id").endswith(F.col("version")), "left")
-    best = F.max_by("version", F.struct((F.col("version") == F.col("bare")).cast("int"), F.length("version")))
+    tails = ids.withColumn("bare", bare).withColumn("tail", F.explode(F.transform(F.sequence(F.lit(1), F.length("id")), lambda k: F.substring("id", k, F.length("id")))))
+    j = tails.join(versions.select(F.col("version").alias("tail")).distinct().withColumn("known", F.lit(True)), "tail", "left")
+    best = F.max_by(F.when(F.col("known"), F.col("tail")), F.struct(F.coalesce("known", F.lit(False)), F.coalesce(F.col("tail") == F.col("bare"), F.lit(False)), F.length("tail")))
     return j.groupBy("iso", "id").agg(best.alias("v")).select("iso", "id", F.coalesce("v", "id").alias("version"))
 
 

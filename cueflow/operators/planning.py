@@ -36,7 +36,8 @@ def expand_spec(specs: DataFrame, spec_id: str, spec: str, books: DataFrame) ->
     specs = specs.select(spec_id, spec)
     whole = F.upper(F.trim(spec))
     named = whole.isin("NT", "OT", "ALL")
-    testament = specs.where(named).join(books, (whole == F.col("canon")) | (whole == "ALL"))
+    of_canon = books.select("book", "n_chapters", F.explode(F.array(F.col("canon"), F.lit("ALL"))).alias("__named"))
+    testament = specs.where(named).join(F.broadcast(of_canon), whole == F.col("__named"))
     testament = testament.select(spec_id, "book", F.explode(F.sequence(F.lit(1), F.col("n_chapters"))).alias("chapter"))
     parts = specs.where(~named).select(spec_id, F.posexplode(F.split(spec, ",")).alias("pos", "part")).withColumn("part", F.upper(F.trim("part")))
     bare = F.col("part").rlike(r"^\d+(-\d+)?$")
