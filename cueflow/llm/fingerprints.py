@@ -24,6 +24,9 @@ table of one row is its own next. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -84,10 +87,12 @@ def shown(words: str) -> Column:
 def combined(a: str, b: str, sign: int = 1) -> Column:
     """Fingerprint of two multisets together (sign 1), or of a without b (-1): lane by lane, modulo the powers."""
 
+    whole, half = F.lit(Decimal(1 << 64)), F.lit(Decimal(1 << 63))
+
     def word(x: Column, y: Column, i: Column) -> Column:
         y = y if sign > 0 else -y
-        wide = (x.cast("decimal(38,0)") + y.cast("decimal(38,0)")) % F.lit(1 << 64).cast("decimal(38,0)")
-        wrapped = F.when(wide >= F.lit(1 << 63).cast("decimal(38,0)"), wide - F.lit(1 << 64).cast("decimal(38,0)")).when(wide < -F.lit(1 << 63).cast("decimal(38,0)"), wide + F.lit(1 << 64).cast("decimal(38,0)")).otherwise(wide)
+        wide = (x.cast("decimal(38,0)") + y.cast("decimal(38,0)")) % whole
+        wrapped = F.when(wide >= half, wide - whole).when(wide < -half, wide + whole).otherwise(wide)
         return F.when(i < SEEDS, wrapped.cast("long")).otherwise(x + y)
 
     pairs = F.arrays_zip(F.col(a).alias("x"), F.col(b).alias("y"))
@@ -135,12 +140,13 @@ def _ranges(df: DataFrame, id_col: str, size: Column) -> Column:
     return F.get(F.lit(place), cell) if at else F.lit(0)
 
 
-def with_next(df: DataFrame, id_col: str, text_col: str, carried: list[str]) -> tuple[DataFrame, str]:
-    """df with a struct of the carried columns of the next row by (id, hash of text); the struct's name.
+def with_next(df: DataFrame, id_col: str, text_col: str, made: Callable[[DataFrame], DataFrame], carried: list[str]) -> tuple[DataFrame, str]:
+    """made(df) with a struct of the carried columns of the next row by (id, hash of text); the struct's name.
 
     Rows are dealt to ranges of ids; ``lead`` runs within a range, and the last
     row of a range is followed by the first one of the next range, found by ids
-    alone. The text is shuffled once.
+    alone. The text is shuffled once. ``made`` adds columns row by row; it runs
+    once over all rows, and once over the first row of each range.
     """
     key, place, name, edge = (fresh(df, x) for x in ("key", "range", "next", "edge"))
     found = df.withColumn(key, F.xxhash64(text_of(text_col)))
@@ -152,9 +158,10 @@ def with_next(df: DataFrame, id_col: str, text_col: str, carried: list[str]) ->
     # the first row of each range, under the number of the range before it
     firsts = firsts.select(F.col(place).alias("at"), after.alias("n")).select("at", F.col(f"n.{place}").alias("place"), "n.first.id", "n.first.key")
     meets = (found[place] == firsts["place"]) & found[id_col].eqNullSafe(firsts["id"]) & (found[key] == firsts["key"])
-    heads = found.join(firsts, meets).groupBy(firsts["at"]).agg(F.first(F.struct(*carried)).alias(edge)).withColumnRenamed("at", "at_range")
+    heads = stash(found.join(firsts, meets).groupBy("at").agg(*(F.first(found[c]).alias(c) for c in df.columns)))
+    heads = made(heads).select(F.col("at").alias("at_range"), F.struct(*carried).alias(edge))
     w = Window.partitionBy(place).orderBy(F.col(id_col).asc_nulls_first(), key)
-    led = found.withColumn(name, F.lead(F.struct(*carried)).over(w))
+    led = made(found).withColumn(name, F.lead(F.struct(*carried)).over(w))
     led = led.join(heads, led[place] == heads["at_range"], "left")
     return led.withColumn(name, F.coalesce(name, edge)).drop(edge, key, place, "at_range"), name
 
@@ -169,9 +176,12 @@ def edited(text: Column, following: Column) -> Column:
 def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: its fingerprint, that of its edited text, and how near they and the next one's are."""
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
-    own, a = fingerprinted(docs, "text")
-    own = own.withColumnRenamed(a, "own")
-    led, nxt = with_next(own, "id", "text", ["text", "own"])
+
+    def own(df: DataFrame) -> DataFrame:
+        out, made = fingerprinted(df, "text")
+        return out.withColumnRenamed(made, "own")
+
+    led, nxt = with_next(docs, "id", "text", own, ["text", "own"])
     led = led.select("id", "own", F.length("text").cast("long").alias("n_chars"), edited(F.col("text"), F.col(f"{nxt}.text")).alias("edited"), F.col(f"{nxt}.own").alias("next"))
     both, b = fingerprinted(led, "edited")
     return both.select(
