@@ -270,9 +270,12 @@ def _in_blocks(groups: DataFrame, schema: str, one: Callable[..., dict[str, np.n
     groups as a stream; it holds two blocks at a time, however large a group is.
     """
     names = [x.split()[0] for x in schema.split(", ")]
-    blocks = groups.groupBy("major").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = groups.groupBy("major").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    blocks = stash(blocks)  # groups of more than BLOCK nodes: few, and without their rows dealt to one task
+    if blocks.count() <= BROADCAST_ROWS:
+        blocks = F.broadcast(blocks)
     own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    dealt = groups.join(blocks, "major").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = groups.join(blocks, "major", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("major", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), *names)
     n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, "major", "p", "q").sortWithinPartitions("major", "p", "q", "node")
