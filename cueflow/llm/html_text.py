@@ -25,6 +25,9 @@ from .common import fresh, small_batches, stash, text_of
 #: Winning paths are broadcast up to this many estimated bytes, else joined by host with a shuffle.
 BROADCAST_BYTES = 16 << 20
 
+#: Containers in a path.
+DEPTH = 40
+
 # Fixed values of HTML: elements by their role.
 RAW = frozenset("script style noscript template textarea title iframe svg math".split())
 VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
@@ -38,7 +41,7 @@ NOISE_WORDS = re.compile(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
-_TAG = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^<>]*)>)""", re.S)
+_TAG = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,20000}+"|'[^']{0,20000}+'){0,400}+)>|(/?)([a-zA-Z][^\s/>]*)([^<>]*)>)""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _DIGITS = re.compile(r"\d+")
@@ -138,7 +141,10 @@ def blocks(page: str) -> list[Block]:
         elif tag not in VOID and not raw.endswith("/"):
             attrs = _attributes(raw)
             noisy = _noisy(tag, attrs)
-            path = f"{stack[-1][2]}>{generalised(tag, attrs)}" if stack else generalised(tag, attrs)
+            if len(stack) >= DEPTH:  # paths of very deep pages end here, so they stay short
+                path = stack[-1][2]
+            else:
+                path = f"{stack[-1][2]}>{generalised(tag, attrs)}" if stack else generalised(tag, attrs)
             stack.append((tag, noisy, path))
             skip += noisy
     flush()

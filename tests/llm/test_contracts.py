@@ -280,3 +280,12 @@ def test_clashing_columns(spark, awkward):
     assert name != "__secrets" and out.count() == 19
     out, name = bpe_codec.encoded(awkward)
     assert all(bpe_codec.decode(list(r[name])) == (r.text or "").encode() for r in out.collect())
+
+
+def test_op3_hostile_pages():
+    from cueflow.llm.html_text import blocks, extract
+
+    assert extract('<p title="a<b">x</p>') == "x"
+    assert len(extract('<a "' * 20_000)) == 80_000
+    deep = "<div>" * 5_000 + "<p>deep</p>"
+    assert extract(deep) == "deep" and max(len(p) for p, _, _ in blocks(deep)) < 1_000
