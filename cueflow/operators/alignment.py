@@ -11,12 +11,13 @@ import re
 import unicodedata
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from cueflow.functions.similarity import bag_similarity, ratio
+from cueflow.functions.similarity import bag_similarity, ratio, ratio_from
 from cueflow.functions.text import LanguageRules
 
 _NOT_WORD, _SPACE = re.compile(r"[^\w\s]"), re.compile(r"\s+")
@@ -32,6 +33,7 @@ class Word:
     score: float = 0.0
 
 
+@lru_cache(maxsize=1 << 17)
 def norm(text: str, rules: LanguageRules = LanguageRules()) -> str:
     """Match form of a word: lower case, decomposed, marks and punctuation dropped."""
     kept = "".join(c for c in unicodedata.normalize("NFD", text.lower()) if unicodedata.category(c) not in rules.strip_categories)
@@ -141,15 +143,18 @@ def word_stamps(words: Sequence[str], asr: Sequence[Word], begin: int, rules: La
         if not form or at >= limit:
             out.append(None)
             continue
-        tries: list[tuple[float, int]] = []
-        for k in range(min(3, limit - at)):
-            single = norm(asr[at + k].text, rules)
+        value, k = 0.0, 0
+        for offset in range(min(3, limit - at)):
+            single = norm(asr[at + offset].text, rules)
             if not single:
                 continue
-            tries.append((ratio(form, single), k))
-            if k:
-                tries.append((ratio(form, norm(" ".join(w.text for w in asr[at : at + k + 1]), rules)), 0))
-        value, k = max(tries, key=lambda t: t[0], default=(0.0, 0))
+            least = max(value, 0.4)
+            tries = [(ratio_from(form, single, least), offset)]
+            if offset:
+                tries.append((ratio_from(form, norm(" ".join(w.text for w in asr[at : at + offset + 1]), rules), least), 0))
+            value, k = max([(value, k), *tries], key=lambda t: t[0])  # the first of equals
+            if value == 1.0:
+                break
         if value >= 0.4:
             out.append((asr[at + k].start, asr[at + k].end))
             at += k + 1
