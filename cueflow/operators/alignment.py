@@ -16,6 +16,7 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cueflow.functions.similarity import bag_similarity, ratio, ratio_from
 from cueflow.functions.text import LanguageRules
@@ -235,5 +236,7 @@ def chapter_words(pdf: pd.DataFrame) -> list[Word]:
 
 
 def per_chapter(left: DataFrame, right: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """``fn`` over both sides of each chapter."""
+    """``fn`` over both sides of each chapter; the sides may come from one table."""
+    right = right.select(*(F.col(c).alias(c) for c in right.columns))
+    left = left.select(*(F.col(c).alias(c) for c in left.columns))
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(fn, schema)
