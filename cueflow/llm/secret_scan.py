@@ -120,11 +120,11 @@ def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_do
 
     The sample is the ``n_docs`` rows whose ids hash lowest, whatever the size of the table.
     """
+    # ids first: a row of the ranking is a few bytes, whatever the number of partitions; then the texts of at most n_docs ids
+    ids = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct().orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(n_docs)
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t")).join(F.broadcast(ids), "id").groupBy("id").agg(F.min("t").alias("t"))
     sample = (
-        docs.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), text_of(text_col).alias("t"))
-        .orderBy("h", "t")
-        .limit(n_docs)
-        .select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_=-])([A-Za-z]{2,15})(?![A-Za-z0-9+/_=-])"), F.lit(1)))).alias("w"))
+        texts.select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(r"(?<![A-Za-z0-9+/_=-])([A-Za-z]{2,15})(?![A-Za-z0-9+/_=-])"), F.lit(1)))).alias("w"))
         .distinct()
         .orderBy(F.xxhash64("w"), "w")
         .limit(SAMPLE_STRINGS)
