@@ -142,3 +142,42 @@ def language_rules(path: str, fallback: str | None = None) -> LanguageRules:
 def machine_options(values: dict, defaults: dict) -> dict:
     """Known keys over the defaults; unknown keys are ignored."""
     return defaults | {k: v for k, v in values.items() if k in defaults}
+
+
+def contribution(text: str, directory: str) -> dict[str, str | None]:
+    """canon and distinct_id of a contribution: TOML, else plain ``key = value`` lines, else parts of ``iso_id_canon``."""
+    try:
+        known = tomllib.loads(text)
+    except tomllib.TOMLDecodeError:
+        pairs = (line.split("=", 1) for line in text.splitlines() if "=" in line)
+        known = {k.strip(): v.strip().strip("\"'") for k, v in pairs}
+    parts = directory.rstrip("/").rsplit("/", 1)[-1].split("_")
+    return {"canon": known.get("canon") or (parts[2] if len(parts) > 2 else None), "distinct_id": known.get("distinct_id") or (parts[1] if len(parts) > 1 else None)}
+
+
+def audio_books(spark: SparkSession, path: str) -> DataFrame:
+    """Books of an audio.json: book, code, title, with type and base URL."""
+    raw = spark.read.schema("type string, baseUrl string, books map<string,struct<code:string,title:string>>").option("multiLine", "true").json(path)
+    return raw.select("type", F.col("baseUrl").alias("base_url"), F.explode("books").alias("book", "b")).select("type", "base_url", "book", "b.code", "b.title")
+
+
+def priority_languages(spark: SparkSession, path: str) -> DataFrame:
+    """Languages with tier and file sets by canon and category; a missing file gives no rows."""
+    sets = "struct<syncable:array<string>,with_timecode:array<string>,audio_with_timecode:array<string>>"
+    schema = f"languages array<struct<iso:string,language:string,tier:int,nt:{sets},ot:{sets}>>"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], "iso string, language string, tier int, canon string, category string, fileset string")
+    langs = spark.read.schema(schema).option("multiLine", "true").json(path).select(F.explode("languages").alias("l"))
+    cells = [
+        F.struct(F.lit(canon).alias("canon"), F.lit(cat).alias("category"), F.col(f"l.{canon}.{cat}").alias("filesets"))
+        for canon in ("nt", "ot") for cat in ("syncable", "with_timecode", "audio_with_timecode")
+    ]
+    flat = langs.select("l.iso", "l.language", "l.tier", F.explode(F.array(*cells)).alias("c"))
+    return flat.select("iso", "language", "tier", "c.canon", "c.category", F.explode("c.filesets").alias("fileset"))
+
+
+def chapter_spec(column: str) -> tuple[Column, Column]:
+    """(book, chapter) of ``GEN_017`` or ``GEN 17``; null where it is neither."""
+    book = F.nullif(F.upper(F.regexp_extract(column, r"^\s*(\w{3})[_ ]\d+\s*$", 1)), F.lit(""))
+    return book, F.expr(f"try_cast(regexp_extract({column}, '[_ ](\\\\d+)\\\\s*$', 1) as int)")

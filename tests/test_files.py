@@ -97,3 +97,20 @@ def test_queue_is_idempotent(spark, tmp_path):
     q = queue.work_queue(spark, str(tmp_path / "q"), lambda: done, lambda df, epoch: seen.extend(r.chapter for r in df.collect()), str(tmp_path / "ck"))
     assert q.awaitTermination(60)
     assert seen == [2]
+
+
+def test_contributions_and_languages(spark, tmp_path):
+    assert files.contribution('canon = "nt"\n', "/x/deu_AB_ot") == {"canon": "nt", "distinct_id": "AB"}
+    assert files.contribution("canon = nt\nnot toml", "/x/deu") == {"canon": "nt", "distinct_id": None}
+    (tmp_path / "audio.json").write_text(json.dumps({"type": "t", "baseUrl": "u", "books": {"GEN": {"code": "A01", "title": "Genesis"}}}))
+    assert [(r.book, r.code, r.base_url) for r in files.audio_books(spark, str(tmp_path / "audio.json")).collect()] == [("GEN", "A01", "u")]
+    (tmp_path / "l.json").write_text(json.dumps({"languages": [{"iso": "deu", "language": "German", "tier": 1, "nt": {"syncable": ["X"], "with_timecode": ["Y", "Z"]}}]}))
+    rows = files.priority_languages(spark, str(tmp_path / "l.json")).collect()
+    assert sorted((r.iso, r.canon, r.category, r.fileset) for r in rows) == [("deu", "nt", "syncable", "X"), ("deu", "nt", "with_timecode", "Y"), ("deu", "nt", "with_timecode", "Z")]
+    assert files.priority_languages(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_chapter_spec(spark):
+    df = spark.createDataFrame([("GEN_017",), ("gen 17",), ("x",)], "s string")
+    book, chapter = files.chapter_spec("s")
+    assert [(r.b, r.c) for r in df.select(book.alias("b"), chapter.alias("c")).collect()] == [("GEN", 17), ("GEN", 17), (None, None)]
