@@ -41,9 +41,9 @@ LANE_MASK = (1 << 21) - 1
 #: A piece: up to white space after one of these, or 96 code points.
 PIECE = r"[^\n]{1,96}?(?:(?<=[esnr.,;:!?#&%$*|])[ \t]|(?=\n|$))|[^\n]{96}"
 #: Bytes of text in a range of the ordered documents, about.
-RANGE_BYTES = 24 << 20
+RANGE_BYTES = 6 << 20
 #: Cells in which ids are counted before they are cut into ranges.
-CELLS = 1 << 14
+CELLS = 1 << 16
 
 
 def paragraph_hashes(text: Column) -> Column:
@@ -137,7 +137,10 @@ def _ranges(df: DataFrame, id_col: str, size: Column) -> Column:
             held, at = 0, at + 1
         held += sums.get(c, 0)
         place.append(at)
-    return F.get(F.lit(place), cell) if at else F.lit(0)
+    if not at:
+        return F.lit(0)
+    numbers = F.split(F.lit(",".join(map(str, place))), ",").cast("array<int>")  # one literal, folded to an array once
+    return F.get(numbers, cell)
 
 
 def with_next(df: DataFrame, id_col: str, text_col: str, made: Callable[[DataFrame], DataFrame], carried: list[str]) -> tuple[DataFrame, str]:
