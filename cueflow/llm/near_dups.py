@@ -205,7 +205,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     seen = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while seen[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that the join shuffles both sides and a node with very many neighbours can be split
+        least = stash(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
@@ -239,7 +240,8 @@ def _edges(docs, nodes, id_col, text_col, size, percent) -> DataFrame:
     width = 2 * BAND
     band = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.substring("sketch", i * width + 1, width).alias("r")) for i in range(BANDS)))).alias("band")
     bands = nodes.select("node", band).where(F.col("band.r") != F.lit(bytes(width))).select("node", F.xxhash64("band.i", "band.r").alias("key"))
-    least = bands.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1").select("key", "least")
+    # written, so that the join shuffles both sides and a band with very many nodes can be split
+    least = stash(bands.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1").select("key", "least"))
     shared = stash(bands.join(least, "key"))
     row = lambda x: nodes.select("node", "row").join(x, "node", "left_semi")
 
@@ -253,6 +255,7 @@ def _edges(docs, nodes, id_col, text_col, size, percent) -> DataFrame:
     placed = shared.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     placed = stash(placed)
     mixed = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots")).where("roots > 1").select("key", "major")
+    mixed = stash(mixed)
     groups = stash(placed.join(mixed, "key").select("major", "node", "root").distinct())
 
     at = groups.join(nodes.select("node", "sketch", "n"), "node")
