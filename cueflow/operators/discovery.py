@@ -71,7 +71,8 @@ def languages_with(files: DataFrame, *kinds: str) -> DataFrame:
 
 
 def source_type(contributed: str, external: str) -> Column:
-    """contrib before helloao before dbt."""
+    """Contributed before external before the default service."""
+    # Names of the sources.
     return F.when(F.col(contributed), "contrib").when(F.col(external), "helloao").otherwise("dbt")
 
 
@@ -83,20 +84,23 @@ def usable_text(work: DataFrame, catalog_texts: DataFrame, keys: list[str]) -> D
 
 
 def version_ids(ids: DataFrame, versions: DataFrame) -> DataFrame:
-    """Version of an id: without its language prefix if that is a version, else the longest version that it ends with, else itself.
+    """Version of an id: what follows its language prefix, else the first version (by ordinal) that it ends with, else itself.
 
-    Ids are short: each meets the versions through its suffixes, by equality.
+    Case does not count. Ids are short: each meets the versions through its suffixes, by equality.
     """
-    bare = F.when(F.col("id").startswith(F.col("iso")), F.expr("substring(id, length(iso) + 1)"))
-    tails = ids.withColumn("bare", bare).withColumn("tail", F.explode(F.transform(F.sequence(F.lit(1), F.length("id")), lambda k: F.substring("id", k, F.length("id")))))
-    j = tails.join(versions.select(F.col("version").alias("tail")).distinct().withColumn("known", F.lit(True)), "tail", "left")
-    best = F.max_by(F.when(F.col("known"), F.col("tail")), F.struct(F.coalesce("known", F.lit(False)), F.coalesce(F.col("tail") == F.col("bare"), F.lit(False)), F.length("tail")))
-    return j.groupBy("iso", "id").agg(best.alias("v")).select("iso", "id", F.coalesce("v", "id").alias("version"))
-
-
-def audio_url(base: str, code: str, book: str, chapter: str) -> Column:
-    """base/B01___02_code with the code padded to five."""
-    return F.concat(F.col(base), F.lit("/"), F.rpad(F.col(book), 5, "_"), F.lpad(F.col(chapter).cast("string"), 3, "0"), F.lit("_"), F.col(code), F.lit(".mp3"))
+    bare = F.when(F.upper("id").startswith(F.upper("iso")) & (F.length("id") > F.length("iso")), F.expr("substring(id, length(iso) + 1)"))
+    tails = ids.withColumn("bare", bare).withColumn("tail", F.explode(F.transform(F.sequence(F.lit(1), F.length("id")), lambda k: F.upper(F.substring("id", k, F.length("id"))))))
+    j = tails.join(versions.select("version", "ordinal", F.upper("version").alias("tail")), "tail", "left")
+    g = j.groupBy("iso", "id").agg(F.first("bare").alias("bare"), F.min_by("version", F.when(F.col("version").isNotNull(), F.struct("ordinal", "version"))).alias("v"))
+    return g.select("iso", "id", F.coalesce("bare", "v", "id").alias("version"))
+
+
+def audio_url(base: str, code: str, title: str, chapter: str) -> Column:
+    """base, code and chapter filled to five places (two at least), title, and the chapter in three places."""
+    width = F.greatest(F.lit(2), 5 - F.length(code))
+    number = F.col(chapter).cast("string")
+    wide = lambda n: F.when(F.length(number) >= n, number).otherwise(F.lpad(number, n, "0"))
+    return F.concat(F.col(base), F.col(code), wide(width), F.lit("-"), F.col(title), F.lit("_Kapitel-"), wide(F.lit(3)), F.lit(".mp3"))
 
 
 def work_items(work: DataFrame, out_root: str) -> DataFrame:

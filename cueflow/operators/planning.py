@@ -83,17 +83,19 @@ def resolved_id(iso: str, raw: str) -> Column:
     return F.when(kind == F.lower(kind), F.concat(F.col(iso), rest)).otherwise(rest)
 
 
-#: Suffixes of file-set ids that name a format.
-SUFFIXES = ("opus16", "opus32", "opus64", "mp3", "hls", "json", "usx", "16")
+#: Suffixes of file-set ids that name an audio or text format.
+SUFFIXES = ("opus16", "opus32", "mp3-64", "mp3-128", "mp3", "json", "usx", "html")
 
 
 def without_suffix(fileset: str) -> Column:
     return F.regexp_replace(fileset, f"-({'|'.join(SUFFIXES)})$", "")
 
 
-def failure_kind(status: str, body: str) -> Column:
-    """Kind of a failed request by status; an answer without a body is empty."""
-    return F.when(F.col(status) == 403, "forbidden").when(F.col(status) == 404, "not_found").when(F.col(status) >= 400, "other").when(F.coalesce(F.length(body), F.lit(0)) == 0, "empty")
+def failure_kind(status: str) -> Column:
+    """Kind of a failed request by its last status; without a failure the answer was empty."""
+    # The error types of the error log.
+    failed = F.when(F.col(status) == 403, "http_403_forbidden").when(F.col(status) == 404, "http_404_not_found").otherwise("http_error")
+    return F.when(F.col(status).isNull() | (F.col(status) < 400), "empty_data").otherwise(failed)
 
 
 def stale(inputs: DataFrame, outputs: DataFrame, keys: Keys, force: bool = False) -> DataFrame:

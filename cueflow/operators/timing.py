@@ -30,7 +30,7 @@ def mean_of_means(df: DataFrame, keys: Keys, total: str = "sum_delta", count: st
     return [F.sum(each).cast("decimal(30,6)").alias("sum_means"), F.count("*").alias("n_chapters")]
 
 
-def defects(df: DataFrame, keys: Keys, order: list, stamp: str, gap: int = 120) -> DataFrame:
+def defects(df: DataFrame, keys: Keys, order: list, stamp: str, gap=120, tiny=0.1) -> DataFrame:
     """Counts of repeated, backward, tiny and gap deltas; chapters of two verses at least."""
     d = with_delta(df, keys, order, stamp)
     return (
@@ -39,6 +39,7 @@ def defects(df: DataFrame, keys: Keys, order: list, stamp: str, gap: int = 120)
             F.count("*").alias("n_verses"),
             F.count_if(F.col("delta") == 0).alias("n_dupes"),
             F.count_if(F.col("delta") < 0).alias("n_backwards"),
+            F.count_if((F.col("delta") > 0) & (F.col("delta") < tiny)).alias("n_tiny"),
             F.count_if(F.col("delta") > gap).alias("n_gaps"),
         )
         .where("n_verses >= 2")
@@ -50,9 +51,23 @@ def null_and_repeat_counts(df: DataFrame, keys: Keys, order: list, value: str) -
     return r.groupBy(*keys).agg(F.count_if(F.col(value).isNull()).alias("n_nulls"), F.count_if("repeats").alias("n_dupes"), F.count("*").alias("n_words"))
 
 
-def flags(dupes: str, backwards: str, gaps: str, nulls: str) -> Column:
-    """Names of the rules that a chapter breaks, in fixed order."""
-    parts = [F.when(F.col(dupes) > 0, "DUPES"), F.when(F.col(backwards) > 0, "BACKWARDS"), F.when(F.col(gaps) > 0, "GAPS"), F.when(F.col(nulls) >= 3, "NULLS")]
+def flags() -> Column:
+    """Names of the rules that a chapter breaks, in fixed order.
+
+    Columns: n_dupes, n_backwards, n_tiny, n_gaps; n_nulls; low_score (mean below 0.5);
+    other_issues (of the external timing, null without one).
+    """
+    issues = F.col("n_dupes") + F.col("n_backwards") + F.col("n_tiny") + F.col("n_gaps")
+    # The flags' names.
+    parts = [
+        F.when(F.col("n_dupes") > 0, "DUPES"),
+        F.when(F.col("n_backwards") > 0, "BACKWARDS"),
+        F.when(F.col("n_tiny") >= 3, "TINY-STEPS"),
+        F.when(F.col("n_gaps") > 0, "GAPS"),
+        F.when(F.col("n_nulls") >= 3, "NULLS"),
+        F.when(F.col("low_score"), "LOW-SCORE"),
+        F.when((F.col("other_issues") < issues) & (issues > 0), "ORIG-BETTER"),
+    ]
     return F.concat_ws(",", *parts)
 
 

@@ -103,19 +103,20 @@ def usable_text_open(spark, sf_dir):
     return d.usable_text(files.select("iso", "canon").distinct(), files.where("book = 'none'").select("iso", "canon"), ["iso", "canon"])
 
 
-@register("version_ids", "with i as (select distinct concat('b', p_size % 5) as iso, concat('b', p_size % 7, 'V', p_size % 11) as id from part), v as (select distinct concat('V', p_size % 11) as version from part where p_size % 11 < 6 union select distinct concat(p_size % 7, 'V', p_size % 11) from part where p_size % 11 < 3), j as (select iso, id, version, case when starts_with(id, iso) then substr(id, length(iso) + 1) end as bare from i left join v on ends_with(id, version)) select iso, id, coalesce(arg_max(version, (coalesce(cast(version = bare as int), -1), length(version))), id) as version from j group by iso, id")
+@register("version_ids", "with i as (select distinct concat('b', p_size % 5) as iso, concat(case when p_size % 2 = 0 then 'B' else 'b' end, p_size % 7, 'V', p_size % 11) as id from part), v as (select version, min(ordinal) as ordinal from (select concat('v', p_size % 11) as version, p_size % 11 as ordinal from part where p_size % 11 < 6 union all select concat(p_size % 7, 'V', p_size % 11), 20 - p_size % 7 from part where p_size % 11 < 3) group by version), j as (select iso, id, case when starts_with(upper(id), upper(iso)) and length(id) > length(iso) then substr(id, length(iso) + 1) end as bare, version, ordinal from i left join v on ends_with(upper(id), upper(version))) select iso, id, coalesce(any_value(bare), arg_min(version, (ordinal, version)), id) as version from j group by iso, id")
 def version_ids(spark, sf_dir):
     p = table(spark, sf_dir, "part").withColumn("s", F.col("p_size"))
     c = lambda head, x: F.concat(F.lit(head), x.cast("string"))
-    ids = p.select(c("b", F.col("s") % 5).alias("iso"), F.concat(c("b", F.col("s") % 7), c("V", F.col("s") % 11)).alias("id")).distinct()
-    v = p.where("s % 11 < 6").select(c("V", F.col("s") % 11).alias("version")).union(p.where("s % 11 < 3").select(F.concat(c("", F.col("s") % 7), c("V", F.col("s") % 11)))).distinct()
+    ids = p.select(c("b", F.col("s") % 5).alias("iso"), F.concat(F.when(F.col("s") % 2 == 0, "B").otherwise("b"), (F.col("s") % 7).cast("string"), c("V", F.col("s") % 11)).alias("id")).distinct()
+    v = p.where("s % 11 < 6").select(c("v", F.col("s") % 11).alias("version"), (F.col("s") % 11).alias("ordinal"))
+    v = v.union(p.where("s % 11 < 3").select(F.concat(c("", F.col("s") % 7), c("V", F.col("s") % 11)), 20 - F.col("s") % 7)).groupBy("version").agg(F.min("ordinal").alias("ordinal"))
     return d.version_ids(ids, v)
 
 
-@register("audio_urls", "select o_orderkey, concat('http://x/', rpad(concat('B', o_custkey % 66), 5, '_'), lpad(cast(o_orderkey % 150 as varchar), 3, '0'), '_', o_orderstatus, '.mp3') as url from orders")
+@register("audio_urls", "select o_orderkey, concat('http://x/', code, case when length(ch) >= w then ch else lpad(ch, cast(w as int), '0') end, '-', o_orderstatus, '_Kapitel-', case when length(ch) >= 3 then ch else lpad(ch, 3, '0') end, '.mp3') as url from (select o_orderkey, o_orderstatus, concat('B', o_custkey % 166) as code, cast(o_orderkey % 1500 as varchar) as ch, greatest(2, 5 - length(concat('B', o_custkey % 166))) as w from orders)")
 def audio_urls(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.lit("http://x").alias("base"), F.col("o_orderstatus").alias("code"), F.concat(F.lit("B"), (F.col("o_custkey") % 66).cast("string")).alias("book"), (F.col("o_orderkey") % 150).alias("chapter"))
-    return o.select("o_orderkey", d.audio_url("base", "code", "book", "chapter").alias("url"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.lit("http://x/").alias("base"), F.concat(F.lit("B"), (F.col("o_custkey") % 166).cast("string")).alias("code"), F.col("o_orderstatus").alias("title"), (F.col("o_orderkey") % 1500).alias("chapter"))
+    return o.select("o_orderkey", d.audio_url("base", "code", "title", "chapter").alias("url"))
 
 
 @register("work_items", f"with {FILES_SQL}, w as (select distinct {KEY}, fileset as audio_fileset from files where kind = 'audio') select {KEY}, audio_fileset, concat_ws('/', '/out', canon, iso, distinct_id, book, concat(book, '_', lpad(cast(chapter as varchar), 3, '0'), '_', audio_fileset, '_timing.json')) as timing_path from w")

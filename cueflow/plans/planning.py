@@ -84,17 +84,18 @@ def catalog_ids(spark, sf_dir):
     return li.distinct().withColumn("id", p.resolved_id("l_shipmode", "raw"))
 
 
-@register("fileset_suffix", "with f as (select distinct concat('XYZ', p_size, case p_size % 4 when 0 then '-opus16' when 1 then '-mp3' when 2 then '-other' else '' end) as fileset from part) select fileset, regexp_replace(fileset, '-(opus16|opus32|opus64|mp3|hls|json|usx|16)$', '') as plain from f")
+@register("fileset_suffix", "with f as (select distinct concat('XYZ', p_size, case p_size % 4 when 0 then '-opus16' when 1 then '-mp3-64' when 2 then '-other' else '' end) as fileset from part) select fileset, regexp_replace(fileset, '-(opus16|opus32|mp3-64|mp3-128|mp3|json|usx|html)$', '') as plain from f")
 def fileset_suffix(spark, sf_dir):
-    tail = F.when(F.col("p_size") % 4 == 0, "-opus16").when(F.col("p_size") % 4 == 1, "-mp3").when(F.col("p_size") % 4 == 2, "-other").otherwise("")
+    tail = F.when(F.col("p_size") % 4 == 0, "-opus16").when(F.col("p_size") % 4 == 1, "-mp3-64").when(F.col("p_size") % 4 == 2, "-other").otherwise("")
     f = table(spark, sf_dir, "part").select(F.concat(F.lit("XYZ"), F.col("p_size").cast("string"), tail).alias("fileset")).distinct()
     return f.withColumn("plain", p.without_suffix("fileset"))
 
 
-@register("failure_kinds", "select event_id, case when s = 403 then 'forbidden' when s = 404 then 'not_found' when s >= 400 then 'other' when b = '' then 'empty' end as kind from (select event_id, 400 + cast(floor(value) as int) % 7 - case when event_id % 2 = 0 then 200 else 0 end as s, case when event_id % 4 = 0 then '' else props end as b from events)")
+@register("failure_kinds", "select event_id, case when s is null or s < 400 then 'empty_data' when s = 403 then 'http_403_forbidden' when s = 404 then 'http_404_not_found' else 'http_error' end as kind from (select event_id, case when event_id % 5 <> 0 then 400 + cast(floor(value) as int) % 7 - case when event_id % 2 = 0 then 200 else 0 end end as s from events)")
 def failure_kinds(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_id", (400 + F.floor("value").cast("int") % 7 - F.when(F.col("event_id") % 2 == 0, 200).otherwise(0)).alias("s"), F.when(F.col("event_id") % 4 == 0, "").otherwise(F.col("props")).alias("b"))
-    return e.select("event_id", p.failure_kind("s", "b").alias("kind"))
+    status = 400 + F.floor("value").cast("int") % 7 - F.when(F.col("event_id") % 2 == 0, 200).otherwise(0)
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 5 != 0, status).alias("s"))
+    return e.select("event_id", p.failure_kind("s").alias("kind"))
 
 
 @register("skip_done", "select o_orderkey from orders anti join (select distinct l_orderkey as o_orderkey from lineitem where l_returnflag = 'R') d using (o_orderkey)")

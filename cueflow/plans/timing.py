@@ -9,14 +9,14 @@ from cueflow.plans import views as v
 from cueflow.plans.registry import register
 from cueflow.sources.tables import table
 
-DEFECTS = f"{v.JITTER}, d as (select *, stamp - lag(stamp) over (partition by chapter order by verse) as delta from v_jitter), f as (select chapter, count(*) as n_verses, count(*) filter (where delta = 0) as n_dupes, count(*) filter (where delta < 0) as n_backwards, count(*) filter (where delta > 120) as n_gaps from d group by chapter having count(*) >= 2)"
+DEFECTS = f"{v.JITTER}, d as (select *, stamp - lag(stamp) over (partition by chapter order by verse) as delta from v_jitter), f as (select chapter, count(*) as n_verses, count(*) filter (where delta = 0) as n_dupes, count(*) filter (where delta < 0) as n_backwards, count(*) filter (where delta > 0 and delta < 5) as n_tiny, count(*) filter (where delta > 120) as n_gaps from d group by chapter having count(*) >= 2)"
 NULLS = "u as (select *, last_value(null_stamp ignore nulls) over (partition by chapter order by verse rows between unbounded preceding and 1 preceding) as prev from v_jitter), nd as (select chapter, count(*) filter (where null_stamp is null) as n_nulls, count(*) filter (where null_stamp = prev) as n_dupes, count(*) as n_words from u group by chapter)"
 
 
 @register("timing_defects", f"with {DEFECTS} select * from f")
 def timing_defects(spark, sf_dir):
     """Defect counts for each chapter of verse stamps."""
-    return t.defects(v.jitter(spark, sf_dir), ["chapter"], ["verse"], "stamp")
+    return t.defects(v.jitter(spark, sf_dir), ["chapter"], ["verse"], "stamp", tiny=5)
 
 
 @register("word_nulls_dupes", f"with {v.JITTER}, {NULLS} select * from nd")
@@ -24,11 +24,19 @@ def word_nulls_dupes(spark, sf_dir):
     return t.null_and_repeat_counts(v.jitter(spark, sf_dir), ["chapter"], ["verse"], "null_stamp")
 
 
-@register("chapter_flags", f"with {DEFECTS}, {NULLS} select f.chapter, concat_ws(',', case when f.n_dupes > 0 then 'DUPES' end, case when n_backwards > 0 then 'BACKWARDS' end, case when n_gaps > 0 then 'GAPS' end, case when n_nulls >= 3 then 'NULLS' end) as flags from f left join nd on f.chapter = nd.chapter")
+OTHER = "od as (select chapter, stamp - lag(stamp) over (partition by chapter order by verse) as delta from v_jitter where verse % 2 = 0 and chapter % 3 <> 0), o as (select chapter, count(*) filter (where delta = 0 or delta < 0 or (delta > 0 and delta < 5) or delta > 120) as other_issues from od group by chapter having count(*) >= 2), sc as (select chapter, 2 * sum(stamp) < 300 * count(*) as low_score from v_jitter group by chapter)"
+
+
+@register("chapter_flags", f"with {DEFECTS}, {NULLS}, {OTHER} select f.chapter, concat_ws(',', case when f.n_dupes > 0 then 'DUPES' end, case when n_backwards > 0 then 'BACKWARDS' end, case when n_tiny >= 3 then 'TINY-STEPS' end, case when n_gaps > 0 then 'GAPS' end, case when n_nulls >= 3 then 'NULLS' end, case when low_score then 'LOW-SCORE' end, case when other_issues < f.n_dupes + n_backwards + n_tiny + n_gaps and f.n_dupes + n_backwards + n_tiny + n_gaps > 0 then 'ORIG-BETTER' end) as flags from f left join nd on f.chapter = nd.chapter left join o on f.chapter = o.chapter left join sc on f.chapter = sc.chapter")
 def chapter_flags(spark, sf_dir):
-    """Flag names of each chapter, from verse and word defects."""
+    """Flag names of each chapter: verse and word defects, score, and external timing (every second verse) with fewer issues."""
     words = word_nulls_dupes(spark, sf_dir).select("chapter", "n_nulls")
-    return timing_defects(spark, sf_dir).join(words, "chapter", "left").select("chapter", t.flags("n_dupes", "n_backwards", "n_gaps", "n_nulls").alias("flags"))
+    j = v.jitter(spark, sf_dir)
+    other = t.defects(j.where("verse % 2 = 0 and chapter % 3 <> 0"), ["chapter"], ["verse"], "stamp", tiny=5)
+    other = other.select("chapter", (F.col("n_dupes") + F.col("n_backwards") + F.col("n_tiny") + F.col("n_gaps")).alias("other_issues"))
+    score = j.groupBy("chapter").agg((2 * F.sum("stamp") < 300 * F.count("*")).alias("low_score"))
+    all_ = timing_defects(spark, sf_dir).join(words, "chapter", "left").join(other, "chapter", "left").join(score, "chapter", "left")
+    return all_.select("chapter", t.flags().alias("flags"))
 
 
 @register("defects_rollup", f"with {DEFECTS} select chapter % 7 as iso, count(*) as n_chapters, cast(sum(n_dupes) as bigint) as dupes, cast(sum(n_backwards) as bigint) as backwards, cast(sum(n_gaps) as bigint) as gaps, count(*) filter (where n_dupes > 0 or n_gaps > 10) as flagged from f group by rollup (chapter % 7)")

@@ -35,7 +35,7 @@ def test_collapse(spark):
 def test_defects_and_nulls(spark):
     df = frame(spark, [(1, v, s) for v, s in enumerate([0.0, 5.0, 5.0, 4.9, 4.95, 200.0], 1)], "c int, v int, s double")
     r = t.defects(df, ["c"], ["v"], "s").first()
-    assert (r.n_dupes, r.n_backwards, r.n_gaps) == (1, 1, 1)
+    assert (r.n_dupes, r.n_backwards, r.n_tiny, r.n_gaps) == (1, 1, 1, 1)
     df = frame(spark, [(1, i, v) for i, v in enumerate([1.0, None, 1.0, 2.0])], "c int, i int, t double")
     r = t.null_and_repeat_counts(df, ["c"], ["i"], "t").first()
     assert (r.n_nulls, r.n_dupes, r.n_words) == (1, 1, 4)
@@ -174,3 +174,27 @@ def test_not_done_is_idempotent(spark):
     work = frame(spark, [(1,), (2,)], "k int")
     todo = p.not_done(work, frame(spark, [(1,)], "k int"), ["k"])
     assert [r.k for r in todo.collect()] == [2] and p.not_done(work, work, ["k"]).count() == 0
+
+
+def test_dimensions(spark):
+    from cueflow.functions import reference_data as ref
+
+    b = {r.canon: (r.n, r.k) for r in ref.books(spark).groupBy("canon").agg(F.count("*").alias("n"), F.sum("n_chapters").alias("k")).collect()}
+    assert b == {"OT": (39, 929), "NT": (27, 260)}
+    langs = {r.iso: r.asr_lang for r in ref.recogniser_languages(spark).collect()}
+    assert len(langs) == 40 and langs["ibo"] is None and langs["yue"] == langs["cmn"] == "zh"
+    df = frame(spark, [("GEN",), ("REV",), ("XXX",)], "b string")
+    assert [r.c for r in df.select(ref.canon_of("b").alias("c")).collect()] == ["OT", "NT", "UNKNOWN"]
+    assert ref.testaments("nt") == ["NT"] and ref.testaments(None) == ["NT", "OT"]
+    specs = frame(spark, [(1, "OBA,JHN:3")], "k int, s string")
+    assert sorted((r.book, r.chapter) for r in p.expand_spec(specs, "k", "s", ref.books(spark)).collect()) == [("JHN", 3), ("OBA", 1)]
+
+
+def test_urls_and_versions(spark):
+    from cueflow.operators import discovery as d
+
+    df = frame(spark, [("http://b/", "A01", "Genesis", 7), ("http://b/", "A", "Psalm", 119)], "b string, c string, t string, n int")
+    assert [r.u for r in df.select(d.audio_url("b", "c", "t", "n").alias("u")).collect()] == ["http://b/A0107-Genesis_Kapitel-007.mp3", "http://b/A0119-Psalm_Kapitel-119.mp3"]
+    ids = frame(spark, [("fra", "FRALSN"), ("fra", "FRNTLS"), ("eng", "XYZ")], "iso string, id string")
+    versions = frame(spark, [("TLS", 1), ("S", 2)], "version string, ordinal int")
+    assert {r.id: r.version for r in d.version_ids(ids, versions).collect()} == {"FRALSN": "LSN", "FRNTLS": "TLS", "XYZ": "XYZ"}
