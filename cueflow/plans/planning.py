@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cueflow.functions import reference_data as ref
 from cueflow.operators import planning as p
 from cueflow.plans import views as v
 from cueflow.plans.registry import register
@@ -138,3 +139,21 @@ def chunk_overlap(spark, sf_dir):
 def priority_lookup(spark, sf_dir):
     """Text-file lookup: the first candidate by category priority, as one aggregate."""
     return p.first_by_priority(v.filesets(spark, sf_dir), ["iso"], "raw_id", ["drama", "stream", "l_orderkey", "l_linenumber"])
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join("null" if x is None else f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+@register("canon_books", f"select canon, count(*) as n_books, cast(sum(n) as bigint) as n_chapters, string_agg(book, ',' order by book) as books from (values {_values((b, c, n) for c, d in (('OT', ref.OT), ('NT', ref.NT)) for b, n in d.items())}) t(book, canon, n) group by canon")
+def canon_books(spark, sf_dir):
+    """Books and expected chapters of each canon."""
+    return ref.books(spark).groupBy("canon").agg(F.count("*").alias("n_books"), F.sum("n_chapters").alias("n_chapters"), F.array_join(F.array_sort(F.collect_list("book")), ",").alias("books"))
+
+
+@register("recogniser_lookup", f"select e.event_id, l.asr from (select event_id, case event_id % 4 when 0 then 'deu' when 1 then 'fra' when 2 then 'yue' else 'ibo' end as iso from events) e left join (values {_values(ref.RECOGNISER.items())}) l(iso, asr) on e.iso = l.iso")
+def recogniser_lookup(spark, sf_dir):
+    """Recogniser's code of a language; null for unknown ones and for those that ask for detection."""
+    n = F.col("event_id") % 4
+    e = table(spark, sf_dir, "events").select("event_id", F.when(n == 0, "deu").when(n == 1, "fra").when(n == 2, "yue").otherwise("ibo").alias("iso"))
+    return e.join(F.broadcast(ref.recogniser_languages(spark)), "iso", "left").select("event_id", F.col("asr_lang").alias("asr"))
