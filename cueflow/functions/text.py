@@ -116,3 +116,8 @@ def story_segments(column: str, marker: str = r"!\[[^\]]*\]\([^)]*\)", citation:
     parts = F.split(body, marker)
     trimmed = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
     return F.filter(trimmed, lambda x: x != "")
+
+
+def effective_threshold(book: str, chapter: str, rules: LanguageRules, in_passage: float = 0.01) -> Column:
+    """Score below which a forced-alignment word may give way: lower in the configured passages."""
+    return F.when(in_passages(book, chapter, list(rules.passages)), in_passage).otherwise(rules.fallback_threshold)

@@ -198,3 +198,9 @@ def test_urls_and_versions(spark):
     ids = frame(spark, [("fra", "FRALSN"), ("fra", "FRNTLS"), ("eng", "XYZ")], "iso string, id string")
     versions = frame(spark, [("TLS", 1), ("S", 2)], "version string, ordinal int")
     assert {r.id: r.version for r in d.version_ids(ids, versions).collect()} == {"FRALSN": "LSN", "FRNTLS": "TLS", "XYZ": "XYZ"}
+
+
+def test_effective_threshold(spark):
+    df = frame(spark, [("DAN", 3), ("DAN", 9)], "b string, c int")
+    got = df.select(x.effective_threshold("b", "c", x.LanguageRules(passages=("DAN 3",))).alias("t")).collect()
+    assert [r.t for r in got] == [0.01, 0.3]
