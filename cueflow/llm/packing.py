@@ -1,7 +1,12 @@
 """Packing by lexical retrieval: a sharded BM25 index fills each window with a seed's unused neighbours.
 
-Documents are tokenised, dealt to shards of bounded size, and each shard gets an
-inverted index over its token ids. Windows are filled one after the other: the
+Documents are tokenised; document frequencies and the mean length are counted
+over all of them. They are then set in a line by a sketch of their ids (minimum
+hashes, weighted by rarity), and the line is cut into shards of bounded size, so
+that related documents and copies tend to stand in one shard; what is lost is in
+the README. Each shard gets an inverted index over its token ids, queried with
+all ids of the seed.
+Windows are filled one after the other: the
 rest of the document that was cut last, else the next unused document, is the
 seed; its unused neighbours follow in the order of their BM25 scores until the
 window is full; the last one is cut. A shard's final window is cut into
@@ -9,8 +14,8 @@ sequences whose lengths are powers of two, which need no padding.
 
 Null text is empty text: one id, the end-of-document id. Repeated rows are
 packed each by itself. Very long documents run through as many windows as they
-need. An empty table gives an empty result. Rows of a hot id or source spread
-evenly, as shards are dealt by row.
+need. An empty table gives an empty result. Documents of a hot minimum are told
+apart by the next ones, then by their text, and copies of one text by row.
 """
 
 from __future__ import annotations
@@ -25,56 +30,105 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import documents, small_batches, text_of
+from .common import documents, small_batches, stash, text_of
+from .shards import SAMPLES_PER_RANGE
 
 WINDOW = 2048
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
 #: Text in a shard, about; a shard's ids are held by one task.
 SHARD_BYTES = 8 << 20
-#: Terms of a seed that query the index: those of highest weight.
-QUERY_TERMS = 24
+#: Ids are below this number.
+IDS = 1 << 16
+#: Minima that place a document on the line.
+KEY_TERMS = 3
+#: Terms in more than this share of a shard's documents are kept as rows of a matrix.
+DENSE = 0.125
 K1, B = 1.2, 0.75
 
 #: (document, start, length, sequence, offset)
 Piece = tuple[int, int, int, int, int]
 
 
+@dataclass(frozen=True)
+class Stats:
+    """Of all documents: number, mean length, and document frequency by id."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+    @staticmethod
+    def of(docs: list[np.ndarray]) -> Stats:
+        df = np.zeros(IDS, np.int64)
+        for d in docs:
+            df[np.unique(d)] += 1
+        return Stats(len(docs), sum(map(len, docs)) / max(1, len(docs)), df)
+
+    def ranks(self) -> np.ndarray:
+        """Seeded order of all ids in which rare ones tend to come early; ids of a single document, which nothing shares, come last.
+
+        The first id of a document in it is a weighted minimum hash: two documents
+        agree in it with a chance of the share of their weight that is common.
+        """
+        idf = np.log1p((self.n - self.df + 0.5) / (self.df + 0.5))
+        draw = -np.log(np.random.default_rng(5).random(IDS)) / np.maximum(idf, 1e-9) ** 2
+        order = np.lexsort((draw, self.df < 2))
+        rank = np.empty(IDS, np.int64)
+        rank[order] = np.arange(IDS)
+        return rank
+
+
 class Index:
-    """Inverted index of one shard: postings by term, with BM25 weights."""
+    """Inverted index of one shard: postings by term, with BM25 weights by the statistics of all documents."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], stats: Stats):
         self.terms, self.counts = zip(*(np.unique(d, return_counts=True) for d in docs), strict=True) if docs else ((), ())
         owner = np.repeat(np.arange(len(docs)), [len(t) for t in self.terms])
         term = np.concatenate(self.terms) if docs else np.empty(0, np.int64)
         tf = np.concatenate(self.counts).astype(np.float64) if docs else np.empty(0)
         size = np.array([len(d) for d in docs], np.float64)
-        norm = K1 * (1 - B + B * size / max(1.0, size.mean() if len(size) else 1.0))
+        norm = K1 * (1 - B + B * size / max(1.0, stats.mean))
         order = np.argsort(term, kind="stable")
-        self.owner = owner[order]
-        self.weight = (tf * (K1 + 1) / (tf + norm[owner]))[order] if docs else tf
         self.vocabulary, first, df = np.unique(term[order], return_index=True, return_counts=True)
+        every = stats.df[self.vocabulary]
+        idf = np.log1p((stats.n - every + 0.5) / (every + 0.5))
+        self.owner = owner[order]
+        self.weight = (tf * (K1 + 1) / (tf + norm[owner]))[order] * np.repeat(idf, df) if docs else tf
         self.begin, self.end = first, first + df
-        self.idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
         self.n = len(docs)
+        common = np.flatnonzero(df > DENSE * self.n)
+        self.row = np.full(len(df), -1)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.n))
+        for r, t in enumerate(common.tolist()):
+            a, b = self.begin[t], self.end[t]
+            self.dense[r, self.owner[a:b]] = self.weight[a:b]
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with the seed, best score first; ties by number."""
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document of the shard for all terms of the seed."""
         at = np.searchsorted(self.vocabulary, self.terms[seed])
-        weight = self.idf[at] * np.minimum(self.counts[seed], 4)
-        best = at[np.lexsort((at, -weight))[:QUERY_TERMS]]
-        score = np.zeros(self.n)
-        for t in best.tolist():
-            a, b = self.begin[t], self.end[t]
-            score[self.owner[a:b]] += self.idf[t] * self.weight[a:b]  # a document stands once in a posting list
-        score[~unused] = 0
-        found = np.flatnonzero(score > 0)
-        return found[np.lexsort((found, -score[found]))]
+        row = self.row[at]
+        asked = np.zeros(len(self.dense))
+        asked[row[row >= 0]] = 1.0
+        score = asked @ self.dense
+        begin, end = self.begin, self.end
+        for t in at[row < 0].tolist():
+            a, b = begin[t], end[t]
+            if b - a > 1:  # else the seed alone has it
+                score[self.owner[a:b]] += self.weight[a:b]  # a document stands once in a posting list
+        return score
 
+    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        """Unused documents that share a term with the seed, best score first; ties by number."""
+        score = self.scores(seed)
+        found = np.flatnonzero(unused & (score > 0))
+        return found[np.argsort(-score[found], kind="stable")]
 
-def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[Piece]:
+
+def pack(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None = None) -> list[Piece]:
     """Pieces of all documents of a shard; each id lies in exactly one, windows are full but for the end."""
-    index, unused = Index(docs), np.ones(len(docs), bool)
+    index, unused = Index(docs, stats or Stats.of(docs)), np.ones(len(docs), bool)
     order: list[tuple[int, int, int]] = []  # document, start, length in the line of windows
     room, seed, ahead, rest = window, 0, iter(()), None
 
@@ -133,10 +187,51 @@ def _cut(order: list[tuple[int, int, int]], total: int, window: int) -> list[Pie
     return out
 
 
+def line_key(ids: np.ndarray, rank: np.ndarray, tie: int) -> bytes:
+    """Place on the line, 16 bytes: the least ranks of the ids, the checksum of the ids, a number of the row."""
+    left, out = rank[ids], 0
+    for _ in range(KEY_TERMS):
+        least = int(left.min()) if len(left) else IDS - 1
+        out = out << 16 | least
+        left = left[left > least]
+    return out.to_bytes(8, "big") + zlib.crc32(ids.tobytes()).to_bytes(4, "big") + (tie & 0xFFFFFFFF).to_bytes(4, "big")
+
+
+def shard_of(lines: np.ndarray, split: np.ndarray) -> np.ndarray:
+    """Stretch of the line between the splitters that each place lies in."""
+    return np.searchsorted(split, lines, side="right").astype(np.int32)
+
+
+def splitters(lines: list[bytes], shards: int) -> np.ndarray:
+    """Quantile boundaries of sampled places: distinct, ascending, fewer than ``shards``."""
+    held = np.sort(np.array(lines, "S16"))
+    return np.unique(held[(np.arange(1, shards) * len(held)) // shards]) if len(held) else held
+
+
+def statistics(rows: DataFrame) -> Stats:
+    """Statistics of all documents from their ids; what reaches the driver is one row for each id that occurs."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df, n, total = np.zeros(IDS, np.int64), 0, 0
+        for batch in batches:
+            for x in batch["ids"]:
+                d = np.frombuffer(x, np.uint16)
+                df[np.unique(d)] += 1
+                n, total = n + 1, total + len(d)
+        if n:
+            at = np.flatnonzero(df)
+            yield pd.DataFrame({"term": np.append(at, [-1, -2]), "n": np.append(df[at], [n, total])})
+
+    got = {r.term: r.n for r in rows.select("ids").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    n, total = got.pop(-1, 0), got.pop(-2, 0)
+    df = np.zeros(IDS, np.int64)
+    df[list(got.keys())] = list(got.values())
+    return Stats(n, total / max(1, n), df)
+
+
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Pieces: id, start, length, ids_crc32, doc_tokens, sequence_id, offset. One shuffle, of the ids."""
-    total = docs.agg(F.sum(F.octet_length(text_of(text_col)) + 16)).first()[0] or 0
-    shards = max(1, -(-total // SHARD_BYTES))
+    """Pieces: id, start, length, ids_crc32, doc_tokens, sequence_id, offset. The ids are written once and shuffled once."""
+    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     lengths = tokenizer.replace(".json", ".tiktoken")
 
@@ -145,14 +240,35 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
         one = lambda t: bpe.encode_overlapping(t, lambda s: bpe.encode_json(s, tokenizer), bpe.byte_lengths(lengths))
         return pd.Series([np.append(one(t), END_ID).astype(np.uint16).tobytes() for t in texts])  # ids are below 2**16
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), ids(text_of(text_col)).alias("ids"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"))
-    parts = max(1, min(shards, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    rows = rows.repartition(parts, "shard").sortWithinPartitions("shard", F.crc32("ids"), "id")
+    tie = F.xxhash64(F.monotonically_increasing_id())
+    rows = stash(docs.select(F.col(f"`{id_col}`").alias("id"), ids(text_of(text_col)).alias("ids"), (F.octet_length(text_of(text_col)) + 16).cast("long").alias("size"), tie.alias("tie")))
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    shards = max(1, -(-total // SHARD_BYTES))
+    stats = statistics(rows)
+    held = spark.sparkContext.broadcast((stats, stats.ranks()))
+
+    @F.pandas_udf("binary")
+    def line(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        rank = held.value[1]
+        return pd.Series([line_key(np.frombuffer(x, np.uint16), rank, t) for x, t in zip(ids, ties.tolist(), strict=True)])
+
+    # a row is drawn with a chance in proportion to its size; the draw is a hash, so a lost task draws alike again
+    draw = (F.xxhash64("tie", F.lit("draw")).cast("double") / 2.0**64 + 0.5) < F.col("size") * (shards * SAMPLES_PER_RANGE / max(1, total))
+    sample = [bytes(r.line) for r in rows.where(draw).select(line("ids", "tie").alias("line")).collect()] if shards > 1 else []
+    split = spark.sparkContext.broadcast(splitters(sample, shards))
+
+    @F.pandas_udf("int")
+    def shard(lines: pd.Series) -> pd.Series:
+        return pd.Series(shard_of(np.array([*lines], "S16"), split.value))
+
+    rows = rows.select("id", "ids", line("ids", "tie").alias("line")).withColumn("shard", shard("line"))
+    parts = max(1, min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    rows = rows.repartition(parts, "shard").sortWithinPartitions("shard", "line", "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for shard, part in _shards(batches):
             docs = [np.frombuffer(x, np.uint16) for x in part["ids"]]
-            pieces = pack(docs, window)
+            pieces = pack(docs, window, held.value[0])
             crc = [zlib.crc32(docs[d][a : a + n].astype("<u4").tobytes()) for d, a, n, _, _ in pieces]
             d, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
             yield pd.DataFrame({
