@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cueflow.functions.text import padded
 from cueflow.operators.planning import not_done
 
 CHAPTER = ["canon", "iso", "distinct_id", "book", "chapter"]
@@ -105,7 +106,7 @@ def audio_url(base: str, code: str, title: str, chapter: str) -> Column:
 
 def work_items(work: DataFrame, out_root: str) -> DataFrame:
     """Work with its output paths and whether contributed timing is to be kept."""
-    stem = F.concat_ws("/", F.lit(out_root), "canon", "iso", "distinct_id", "book", F.concat_ws("_", "book", F.lpad(F.col("chapter").cast("string"), 3, "0"), "audio_fileset"))
+    stem = F.concat_ws("/", F.lit(out_root), "canon", "iso", "distinct_id", "book", F.concat_ws("_", "book", padded("chapter"), "audio_fileset"))
     return work.select("*", *(F.concat(stem, F.lit(f"_{k}.json")).alias(f"{k}_path") for k in ("timing", "words", "words_quality")))
 
 

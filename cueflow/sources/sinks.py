@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueflow.functions.text import srt_time
+from cueflow.functions.text import padded, srt_time
 from cueflow.operators.sequence import Keys
 
 
 def verse_timing_json(df: DataFrame, keys: Keys) -> DataFrame:
     """One JSON array a chapter, verses in order."""
-    item = F.struct("verse", F.struct("book", F.lpad(F.col("chapter").cast("string"), 3, "0").alias("chapter"), F.col("verse").cast("string").alias("verse_start"), F.col("verse").cast("string").alias("verse_start_alt"), F.col("ts").alias("timestamp")).alias("row"))
+    item = F.struct("verse", F.struct("book", padded("chapter").alias("chapter"), F.col("verse").cast("string").alias("verse_start"), F.col("verse").cast("string").alias("verse_start_alt"), F.col("ts").alias("timestamp")).alias("row"))
     return df.groupBy(*keys).agg(F.to_json(F.transform(F.array_sort(F.collect_list(item)), lambda x: x.row)).alias("json"))
 
 
