@@ -118,7 +118,7 @@ def verse_anchors(verses: Sequence[Sequence[str]], heard: Sequence[str]) -> list
         expected = total * v // max(1, len(verses))
         best, at = 0.0, None
         for i in range(max(cursor, expected - 3 * n), min(expected + 5 * n, total - n + 1)) if n else ():
-            s = bag_similarity(list(words), list(heard[i : i + n]))
+            s = bag_similarity(list(words), list(heard[i : i + n]), max(best, 0.5))  # less is never taken
             if s > best:
                 best, at = s, i
             if best > 0.7:

@@ -127,7 +127,7 @@ def verse_anchor(spark, sf_dir):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("widx")
         heard = [a.norm(w) for w, i in zip(pdf["word"], pdf["widx"], strict=True) if i % 10]
-        groups = [(k, [a.norm(w) for w in g["word"]][:12]) for k, g in pdf.groupby("verse", sort=True)]
+        groups = [(k, [a.norm(w) for w in g["word"]]) for k, g in pdf.groupby("verse", sort=True)]
         at = a.verse_anchors([w for _, w in groups], heard)
         return pd.DataFrame({"chapter": pdf["chapter"].iloc[0], "verse": [k for k, _ in groups], "anchor": pd.array(at, dtype="Int64")})
 
