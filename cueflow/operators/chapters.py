@@ -16,6 +16,7 @@ from cueflow.operators import alignment as a
 from cueflow.operators import sequence as seq
 
 WORDS = "chapter long, widx long, start double, end double, score double, source string"
+ANCHORED = WORDS + ", anchor double"
 CH = ["chapter"]
 
 
@@ -27,12 +28,23 @@ def chapter_strategies(ref: DataFrame, ctc: DataFrame, asr: DataFrame) -> DataFr
     return j.select("chapter", kind.alias("strategy"))
 
 
-def fused_words(ctc: DataFrame, asr: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """Word times from both timelines, by position of the forced-alignment words."""
+def openings(ref: DataFrame) -> DataFrame:
+    """(chapter, opening): the first five words of its first verse."""
+    first = ref.groupBy("chapter").agg(F.min("verse").alias("verse"))
+    words = F.slice(F.array_sort(F.collect_list(F.struct("pos", "word"))), 1, 5)
+    return ref.join(first, ["chapter", "verse"], "left_semi").groupBy("chapter").agg(F.array_join(words["word"], " ").alias("opening"))
+
+
+def fused_words(ctc: DataFrame, asr: DataFrame, threshold: float = 0.3, ref: DataFrame | None = None) -> DataFrame:
+    """Word times from both timelines, by position of the forced-alignment words; with ref, a spoken header is cut from the first word."""
+    ctc = ctc.join(openings(ref), "chapter", "left") if ref is not None else ctc.withColumn("opening", F.lit(None).cast("string"))
 
     def run(c: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         c = c.sort_values("widx")
-        got = a.fuse(a.chapter_words(c), a.chapter_words(r), threshold)
+        heard = a.chapter_words(r)
+        opening = c["opening"].iloc[0] if len(c) else None
+        header = a.header_boundary(opening, heard) if opening else None
+        got = a.fuse(a.chapter_words(c), heard, threshold, header[0] if header else None)
         return pd.DataFrame([(k, w, f.start, f.end, f.score, f.source) for k, w, f in zip(c["chapter"], c["widx"], got, strict=True)], columns=["chapter", "widx", "start", "end", "score", "source"])
 
     return a.per_chapter(ctc, asr, CH, run, WORDS)
@@ -48,29 +60,35 @@ def anchored_words(ref: DataFrame, asr: DataFrame) -> DataFrame:
         rows = []
         for g, anchor in zip(groups, at, strict=True):
             stamps = a.word_stamps([*g["word"]], asr_words, anchor) if anchor is not None else [None] * len(g)
-            rows += [(c, i, s[0] if s else None, s[1] if s else None, None, "asr") for c, i, s in zip(g["chapter"], g["widx"], stamps, strict=True)]
-        return pd.DataFrame(rows, columns=["chapter", "widx", "start", "end", "score", "source"])
+            begin = asr_words[anchor].start if anchor is not None else None
+            rows += [(c, i, s[0] if s else None, s[1] if s else None, None, "asr", begin) for c, i, s in zip(g["chapter"], g["widx"], stamps, strict=True)]
+        return pd.DataFrame(rows, columns=["chapter", "widx", "start", "end", "score", "source", "anchor"])
 
-    return a.per_chapter(ref, asr, CH, run, WORDS)
+    return a.per_chapter(ref, asr, CH, run, ANCHORED)
 
 
 def aligned(ref: DataFrame, ctc: DataFrame, asr: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """One row for each reference word of a chapter that can be aligned: times (starts monotone within a verse), score, source."""
+    """One row for each reference word of a chapter that can be aligned: times (starts monotone within a verse), score, source, anchor of the verse in recognition."""
     kind = chapter_strategies(ref, ctc, asr)
     only = lambda df, k: df.join(kind.where(F.col("strategy") == k).select("chapter"), "chapter", "left_semi")
-    times = fused_words(only(ctc, "both"), only(asr, "both"), threshold)
+    times = fused_words(only(ctc, "both"), only(asr, "both"), threshold, ref)
     times = times.unionByName(only(ctc, "ctc").select("chapter", "widx", "start", "end", "score", F.lit("ctc").alias("source")))
-    times = times.unionByName(anchored_words(only(ref, "asr"), only(asr, "asr")))
+    times = times.unionByName(anchored_words(only(ref, "asr"), only(asr, "asr")), allowMissingColumns=True)
     mapped = ref.join(kind.where("strategy <> 'error'"), "chapter").join(times, ["chapter", "widx"], "left")
     fixed = seq.monotone_repair(mapped, ["chapter", "verse"], ["pos"], "start", "fixed")
-    return fixed.select("chapter", "verse", "pos", "word", F.col("fixed").alias("start"), "end", "score", "source", "strategy")
+    return fixed.select("chapter", "verse", "pos", "word", F.col("fixed").alias("start"), "end", "score", "source", "strategy", "anchor")
 
 
 def verse_starts(words: DataFrame) -> DataFrame:
-    """Start of each verse: its first known word, else the verse before, else 0; and verse 0 at 0."""
+    """Start of each verse: its anchor, else its first known word, else interpolated by words; and verse 0 at 0.
+
+    After the last known verse the time before holds, as a chapter's duration is not known here.
+    """
     known = F.when(F.col("start").isNotNull(), F.col("pos"))
-    first = words.groupBy("chapter", "verse").agg(F.min_by("start", known).alias("first"))
-    filled = seq.forward_fill(first, CH, ["verse"], "first", "ts", 0.0).select("chapter", "verse", "ts")
+    v = words.groupBy("chapter", "verse").agg(F.coalesce(F.min("anchor"), F.min_by("start", known)).alias("first"), F.count("*").alias("n"))
+    v = v.withColumn("known_us", F.round(F.col("first") * 1_000_000).cast("long"))
+    v = seq.anchor_interpolate(v, CH, "verse", "n", "known_us")
+    filled = v.select("chapter", "verse", F.coalesce("first", F.col("start") / 1_000_000).alias("ts"))
     zero = words.select("chapter").distinct().select("chapter", F.lit(0).cast(words.schema["verse"].dataType).alias("verse"), F.lit(0.0).alias("ts"))
     return filled.unionByName(zero)
 

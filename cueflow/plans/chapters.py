@@ -29,7 +29,7 @@ def chapter_strategies(spark, sf_dir):
 @register("aligned_words")
 def aligned_words(spark, sf_dir):
     """Word times of every chapter that can be aligned, by its strategy."""
-    return c.aligned(*_inputs(spark, sf_dir))
+    return c.aligned(*_inputs(spark, sf_dir)).drop("anchor")
 
 
 @register("aligned_ctc_words", f"with {v.WORDS} select chapter, verse, pos, word, widx / 2.0 as start, 'ctc' as source from v_words where chapter % 4 = 1")
@@ -44,6 +44,12 @@ def aligned_verses(spark, sf_dir):
     return c.verse_starts(c.aligned(*_inputs(spark, sf_dir)).where("chapter % 4 = 1"))
 
 
+@register("aligned_verses_all")
+def aligned_verses_all(spark, sf_dir):
+    """Verse starts of every chapter that can be aligned, by its strategy."""
+    return c.verse_starts(c.aligned(*_inputs(spark, sf_dir)))
+
+
 @register("aligned_quality")
 def aligned_quality(spark, sf_dir):
     """Quality of every aligned chapter."""
