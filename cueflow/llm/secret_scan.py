@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns, and character Markov models compared by log-likelihood ratio.
 
 Two first-order character models are trained from labelled samples, one of
-random strings and one of ordinary identifiers. A run of key characters whose
+random strings and one of ordinary identifiers. A stretch of key characters whose
 mean log-likelihood ratio per character passes a threshold, learned on held-out
-samples, is a secret of kind ``markov``. Spans of the fixed patterns always stay.
+samples, is a secret of kind ``markov``; stretches are sought in what the fixed
+patterns leave of each run. Spans of the fixed patterns always stay.
 
 Null text is empty text (no spans). Very long texts are scanned whole. Repeated
 rows each get their own result; an empty table gives an empty result; if the
@@ -36,8 +37,9 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 #: Words without which ASSIGN cannot match.
 _KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+#: Characters of a stretch that the models judge, at least.
+LEAST_RUN = 16
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
 _LETTER = re.compile(r"[A-Za-z]")
 
 #: Training: at most so many documents give ordinary words, and so many strings of each label are used.
@@ -53,10 +55,19 @@ class MarkovRatio:
     ratio: np.ndarray
     threshold: float
 
-    def score(self, s: str) -> float:
-        """Mean log-likelihood ratio per character; above the threshold is a secret."""
+    def gains(self, s: str) -> np.ndarray:
+        """Log-likelihood ratio of each character."""
         c = _codes(s)
-        return float(self.ratio[np.concatenate([[0], c[:-1]]), c].sum() / max(1, len(c)))
+        return self.ratio[np.concatenate([[0], c[:-1]]), c]
+
+    def score(self, s: str) -> float:
+        """Highest mean of a stretch of LEAST_RUN characters or more; above the threshold it is a secret."""
+        gain = self.gains(s)
+        if len(gain) < LEAST_RUN:
+            return float(gain.sum() / max(1, len(gain)))
+        total = np.concatenate([[0.0], np.cumsum(gain)])
+        # a stretch of twice the length has a half that is no worse
+        return float(max(((total[n:] - total[:-n]) / n).max() for n in range(LEAST_RUN, min(2 * LEAST_RUN, len(total)))))
 
 
 def _codes(s: str) -> np.ndarray:
@@ -149,13 +160,46 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def free_parts(s: int, e: int, base: list[Span]) -> list[tuple[int, int]]:
+    """What base spans leave of [s, e)."""
+    out, at = [], s
+    for a, b, _ in sorted(x for x in base if x[0] < e and s < x[1]):
+        if a > at:
+            out.append((at, a))
+        at = max(at, b)
+    return [*out, (at, e)] if at < e else out
+
+
+def stretches(s: str, model: MarkovRatio) -> list[tuple[int, int]]:
+    """Stretches of at least LEAST_RUN characters, with a letter, whose mean is above the threshold: the one of largest sum, out to the next separators, then those beside it."""
+    out, todo = [], [(0, model.gains(s))]
+    while todo:
+        at, gain = todo.pop()
+        if len(gain) < LEAST_RUN:
+            continue
+        total = np.concatenate([[0.0], np.cumsum(gain - model.threshold)])
+        least = np.minimum.accumulate(total[: len(total) - LEAST_RUN])
+        end = int(np.argmax(total[LEAST_RUN:] - least))
+        if total[LEAST_RUN + end] <= least[end]:
+            continue
+        begin, end = int(np.argmin(total[: end + 1])), end + LEAST_RUN
+        while begin and s[at + begin - 1].isalnum():  # letters and digits at its edges are of the same key
+            begin -= 1
+        while end < len(gain) and s[at + end].isalnum():
+            end += 1
+        if _LETTER.search(s, at + begin, at + end):
+            out.append((at + begin, at + end))
+        todo += [(at, gain[:begin]), (at + end, gain[end:])]
+    return sorted(out)
+
+
 def markov_spans(text: str, model: MarkovRatio, base: list[Span]) -> list[Span]:
-    """Runs of key characters, with a digit and a letter, that the models call random and no base span touches."""
+    """Stretches, in what base spans leave of the runs of key characters, that the models call random."""
     out: list[Span] = []
     for run in _RUN.finditer(text):
-        s, e, w = run.start(), run.end(), run[0]
-        if _DIGIT.search(w) and _LETTER.search(w) and model.score(w) > model.threshold and not any(a < e and s < b for a, b, _ in base):
-            out.append((s, e, "markov"))
+        for s, e in free_parts(run.start(), run.end(), base):
+            if e - s >= LEAST_RUN and _LETTER.search(text, s, e):
+                out += [(s + a, s + b, "markov") for a, b in stretches(text[s:e], model)]
     return out
 
 
