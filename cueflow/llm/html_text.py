@@ -41,7 +41,10 @@ NOISE_WORDS = re.compile(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
-_TAG = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,20000}+"|'[^']{0,20000}+'){0,400}+)>|(/?)([a-zA-Z][^\s/>]*)([^<>]*)>)""", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_EDGE = re.compile(r"""=\s*(["'])|>""")
+_ANGLE = re.compile(r"[<>]")
+_COMMENT_END = re.compile(r"--!?>")
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _DIGITS = re.compile(r"\d+")
@@ -75,6 +78,61 @@ def _noisy(tag: str, attrs: dict[str, str]) -> bool:
     )
 
 
+class Tags:
+    """Tags of a page, read in ascending order in linear time; quoted values and attributes have no limit."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.dead: set[int] = set()  # places outside of quotes from which no tag ends
+        self.unclosed: dict[str, int] = {}  # by quote: none stands at or after this place; "": neither a quoted value nor a '>'
+
+    def _end(self, at: int) -> int | None:
+        """Place after the '>' that ends the tag, outside of quoted values; None if nothing ends it."""
+        seen = []
+        while at not in self.dead:
+            seen.append(at)
+            m = _EDGE.search(self.page, at) if at < self.unclosed.get("", len(self.page) + 1) else None
+            if not m:
+                self.unclosed[""] = min(at, self.unclosed.get("", at))
+            if m and not m[1]:
+                return m.end()
+            if not m or m.end() >= self.unclosed.get(m[1], len(self.page) + 1):
+                break
+            close = self.page.find(m[1], m.end())
+            if close < 0:
+                self.unclosed[m[1]] = m.end()
+                break
+            at = close + 1
+        self.dead.update(seen)
+        return None
+
+    def read(self, lt: int) -> tuple[int, bool, str, str] | None:
+        """(end, closing, name, attributes) of what begins with the '<' at lt; no name for comments; None for text."""
+        page, n = self.page, len(self.page)
+        if page.startswith("<!--", lt):
+            m = _COMMENT_END.search(page, lt + 4)
+            return m.end() if m else n, False, "", ""
+        if page.startswith("<![CDATA[", lt):
+            end = page.find("]]>", lt)
+            return end + 3 if end >= 0 else n, False, "", ""
+        if page.startswith(("<!", "<?"), lt):
+            end = page.find(">", lt) if lt < self.unclosed.get(">", n + 1) else -1
+            if end < 0:
+                self.unclosed[">"] = min(lt, self.unclosed.get(">", lt))
+                return None
+            return end + 1, False, "", ""
+        m = _NAME.match(page, lt + 1)
+        if not m:
+            return None
+        end = self._end(m.end())
+        if end is None:  # a value that is never closed: the tag ends at its first '>', unless another begins before
+            angle = _ANGLE.search(page, m.end())
+            if not angle or angle[0] == "<":
+                return None
+            end = angle.end()
+        return end, bool(m[1]), m[2].lower(), page[m.end() : end - 1]
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks outside of menus, adverts, forms, scripts and the like, in page order."""
     out: list[Block] = []
@@ -84,6 +142,7 @@ def blocks(page: str) -> list[Block]:
     buf: list[str] = []
     linked = 0
     at, n = 0, len(page)
+    tags = Tags(page)
 
     def flush() -> None:
         nonlocal linked
@@ -105,17 +164,15 @@ def blocks(page: str) -> list[Block]:
                 linked += lt - at
         if lt == n:
             break
-        m = _TAG.match(page, lt)
-        if not m:
+        read = tags.read(lt)
+        if not read:
             if not skip:
                 buf.append("<")
             at = lt + 1
             continue
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        at, closing, tag, raw = read
         if not tag:
             continue
-        closing, raw = bool(m[1] or m[4]), m[3] or m[6] or ""
         if tag in RAW:
             if not closing and not raw.endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
