@@ -1,82 +1,95 @@
 """Document fingerprints by a homomorphic multiset hash, native from end to end.
 
-A fingerprint is a vector of sums, so adding or removing a paragraph adds or
-subtracts that paragraph's vector and the order of paragraphs does not matter:
+A fingerprint is a vector of sums over paragraphs (lines that are not empty), so
+adding or removing a paragraph adds or subtracts that paragraph's vector and the
+order of paragraphs does not matter:
 
-* four words: the paragraphs' 64-bit hashes under four seeds, added modulo
-  2**64. They decide equality.
+* four words: hashes of the paragraph under four seeds, each over its whole
+  text, added modulo 2**62. They decide equality.
 * one word: the number of pieces.
-* 21 words of three lanes each: every piece of a paragraph gives a 64-bit hash,
-  whose bits 0 to 62 are counted lane by lane, modulo 2**21. Read as signs
-  (twice the count less the number of pieces) the lanes of two fingerprints
-  differ by a vector whose mean square estimates how many pieces only one of
-  the two texts has.
+* 21 words of three lanes each: every piece of a paragraph adds or subtracts one
+  in the lane that its hash names, modulo 2**21. The lanes of two fingerprints
+  differ by a vector whose square length estimates how many pieces only one of
+  the two texts has. No text is too long: every sum is taken modulo its power.
 
-A piece ends after white space that follows one of a few common letters or a
-mark, at the end of its line, or after 96 code points: the cuts depend on the
-text around them only, so an edit changes the pieces that it touches.
+A piece ends after a blank that follows one of a few common letters or a mark,
+at the end of its line, or after 96 code points: the cuts depend on the text
+around them only, so an edit changes the pieces that it touches.
+
+The edited text is fingerprinted by the sums: the paragraphs from the cut on are
+taken out of the document's fingerprint and those of the new end are added.
 
 Null text is empty text. Rows are fingerprinted each by itself, so equal texts
-have equal fingerprints. The *next* document is the next row by (id, hash of
-the text); null ids come first, the last row's next is the first row, and a
-table of one row is its own next. An empty table gives an empty result.
+have equal fingerprints, and repeated rows and rows of repeated ids get results
+of their own. The *next* document is the next row by (id, hash of the text),
+whatever orderable type the id has; null ids come first, the last row's next is
+the first row, and a table of one row is its own next. An empty table gives an
+empty result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import os.path
 from collections.abc import Callable
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import documents, fresh, stash, text_of
 
 SEEDS = 4
-SHIFTS = 21
-#: Bits 0, 21 and 42.
-LANES_MASK = (1 << 42) | (1 << 21) | 1
-LANE_MASK = (1 << 21) - 1
-#: A piece: up to white space after one of these, or 96 code points.
-PIECE = r"[^\n]{1,96}?(?:(?<=[esnr.,;:!?#&%$*|])[ \t]|(?=\n|$))|[^\n]{96}"
-#: Bytes of text in a range of the ordered documents, about.
+#: Words that hold sums modulo 2**62: the seeds and the number of pieces.
+PLAIN = SEEDS + 1
+SUM_MASK = (1 << 62) - 1
+#: Lanes, three in a word.
+WORDS, LANE_BITS = 21, 21
+LANES = 3 * WORDS
+LANE_MASK = (1 << LANE_BITS) - 1
+#: Where a line is cut into pieces, and the most code points of a piece.
+CUT = r"(?<=[esnr.,;:!?#&%$*|])[ \t]|\n"
+PIECE_CHARS = 96
+#: Bytes of text in a range of the ordered documents, about, and ranges at most.
 RANGE_BYTES = 6 << 20
-#: Cells in which ids are counted before they are cut into ranges.
-CELLS = 1 << 16
-
-
-def paragraph_hashes(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda p: p != "")
-
+MAX_RANGES = 1 << 13
 
-def _add(values: Column, term) -> Column:
-    """Sum modulo 2**64: wraps, also in ANSI mode."""
-    # the two halves are added apart, so that no intermediate sum overflows
-    low = F.aggregate(values, F.lit(0).cast("long"), lambda a, h: a + term(h).bitwiseAND(F.lit(0xFFFFFFFF)))
-    high = F.aggregate(values, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(term(h), 32))
-    return F.shiftleft((high + F.shiftrightunsigned(low, 32)).bitwiseAND(F.lit(0xFFFFFFFF)), 32).bitwiseOR(low.bitwiseAND(F.lit(0xFFFFFFFF)))
 
+def paragraph_hashes(paragraphs: Column, seed: int) -> Column:
+    """Sum of the paragraphs' hashes under a seed, modulo 2**62; the seed goes first, so that each hash reads the whole text."""
+    mask = F.lit(SUM_MASK)
+    return F.aggregate(paragraphs, F.lit(0).cast("long"), lambda a, p: (a + F.xxhash64(F.lit(seed), p).bitwiseAND(mask)).bitwiseAND(mask))
 
-def _seeded(seed: int):
-    return lambda h: F.xxhash64(h, F.lit(seed))
 
-
-def _lane(shift: int):
-    return lambda total, h: total + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(LANES_MASK))
+def _pieces(text: Column) -> tuple[Column, Callable[[Column], Column]]:
+    """Pieces before long ones are cut, and the function that cuts those."""
+    whole = F.filter(F.split(text, CUT), lambda p: p != "")
+    part = lambda p: F.when(F.length(p) <= PIECE_CHARS, F.array(p)).otherwise(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0)))
+    return whole, lambda pieces: F.when(F.exists(pieces, lambda p: F.length(p) > PIECE_CHARS), F.flatten(F.transform(pieces, part))).otherwise(pieces)
 
 
 def fingerprinted(df: DataFrame, text_col: str) -> tuple[DataFrame, str]:
-    """df with the fingerprint as array<long>: SEEDS sums, the piece count, SHIFTS packed lane words. No shuffle."""
-    paragraphs, pieces, name = (fresh(df, x) for x in ("paragraphs", "pieces", "print"))
+    """df with the fingerprint as array<long>: SEEDS sums, the piece count, WORDS packed lane words. No shuffle.
+
+    Each piece becomes one of 2 * LANES marks; a mark's count is what the string
+    of marks loses when it is taken out, so lanes cost no step for each piece.
+    """
+    paragraphs, pieces, marks, lanes, name = (fresh(df, x) for x in ("paragraphs", "pieces", "marks", "lanes", "print"))
     text = text_of(text_col)
-    out = df.withColumn(paragraphs, F.transform(paragraph_hashes(text), lambda p: F.xxhash64(p)))
-    out = out.withColumn(pieces, F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.xxhash64(p)))
-    equality = [_add(F.col(paragraphs), _seeded(s)) for s in range(SEEDS)]
-    # a lane word holds three counters; it stays below 2**63 for texts of fewer than two million pieces
-    lanes = [F.aggregate(pieces, F.lit(0).cast("long"), _lane(s)) for s in range(SHIFTS)]
-    words = F.array(*equality, F.size(pieces).cast("long"), *lanes)
-    return out.withColumn(name, F.explode(F.array(words))).drop(paragraphs, pieces), name
+    whole, cut = _pieces(text)
+    # columns of their own: inside a lambda an expression is evaluated for each element
+    out = df.withColumn(paragraphs, F.filter(F.split(text, "\n"), lambda p: p != "")).withColumn(pieces, whole)
+    mark = lambda p: F.char(F.pmod(F.xxhash64(F.lit(SEEDS), p), F.lit(2 * LANES)) + 1)
+    out = out.withColumn(marks, F.array_join(F.transform(cut(F.col(pieces)), mark), ""))
+    m = F.col(marks)
+    letters = lambda k: F.array(*(F.lit(chr(i + 1)) for i in range(k * LANES, (k + 1) * LANES)))
+    without = lambda c: F.octet_length(F.replace(m, c, F.lit("")))
+    out = out.withColumn(lanes, F.zip_with(letters(0), letters(1), lambda up, down: (without(down) - without(up)).cast("long").bitwiseAND(F.lit(LANE_MASK))))
+    lane = lambda i: F.get(F.col(lanes), i)
+    packed = [lane(F.lit(i)).bitwiseOR(F.shiftleft(lane(F.lit(i + WORDS)), LANE_BITS)).bitwiseOR(F.shiftleft(lane(F.lit(i + 2 * WORDS)), 2 * LANE_BITS)) for i in range(WORDS)]
+    sums = [paragraph_hashes(F.col(paragraphs), s) for s in range(SEEDS)]
+    words = F.array(*sums, F.octet_length(m).cast("long"), *packed)
+    return out.withColumn(name, F.explode(F.array(words))).drop(paragraphs, pieces, marks, lanes), name
 
 
 def shown(words: str) -> Column:
@@ -84,19 +97,22 @@ def shown(words: str) -> Column:
     return F.lower(F.array_join(F.transform(F.col(words), lambda w: F.lpad(F.hex(w), 16, "0")), ""))
 
 
+def _lane(word: Column, k: int) -> Column:
+    return F.shiftrightunsigned(word, LANE_BITS * k).bitwiseAND(F.lit(LANE_MASK))
+
+
 def combined(a: str, b: str, sign: int = 1) -> Column:
-    """Fingerprint of two multisets together (sign 1), or of a without b (-1): lane by lane, modulo the powers."""
+    """Fingerprint of two multisets together (sign 1), or of a without b (-1): sum by sum and lane by lane, modulo the powers."""
 
-    whole, half = F.lit(Decimal(1 << 64)), F.lit(Decimal(1 << 63))
+    def word(x: Column, y: Column) -> Column:
+        return (x + sign * y).bitwiseAND(F.lit(SUM_MASK))
 
-    def word(x: Column, y: Column, i: Column) -> Column:
-        y = y if sign > 0 else -y
-        wide = (x.cast("decimal(38,0)") + y.cast("decimal(38,0)")) % whole
-        wrapped = F.when(wide >= half, wide - whole).when(wide < -half, wide + whole).otherwise(wide)
-        return F.when(i < SEEDS, wrapped.cast("long")).otherwise(x + y)
+    def lanes(x: Column, y: Column) -> Column:
+        low, middle, high = (F.shiftleft((_lane(x, k) + sign * _lane(y, k)).bitwiseAND(F.lit(LANE_MASK)), LANE_BITS * k) for k in range(3))
+        return low.bitwiseOR(middle).bitwiseOR(high)
 
-    pairs = F.arrays_zip(F.col(a).alias("x"), F.col(b).alias("y"))
-    return F.transform(pairs, lambda p, i: word(p.x, p.y, i))
+    both = lambda first, n, f: F.zip_with(F.slice(F.col(a), first, n), F.slice(F.col(b), first, n), f)
+    return F.concat(both(1, PLAIN, word), both(PLAIN + 1, WORDS, lanes))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -104,43 +120,72 @@ def likeness(a: str, b: str) -> Column:
     x, y = F.col(a), F.col(b)
     na, nb = F.get(x, F.lit(SEEDS)), F.get(y, F.lit(SEEDS))
 
-    def squares(p: Column) -> Column:
+    def squares(u: Column, v: Column) -> Column:
         def lane(k: int) -> Column:
-            u = F.shiftrightunsigned(p.u, 21 * k).bitwiseAND(F.lit(LANE_MASK))
-            v = F.shiftrightunsigned(p.v, 21 * k).bitwiseAND(F.lit(LANE_MASK))
-            d = (2 * (u - v) - (na - nb)).cast("double")
+            d = (_lane(u, k) - _lane(v, k) + (1 << LANE_BITS - 1)).bitwiseAND(F.lit(LANE_MASK)) - (1 << LANE_BITS - 1)  # signed
             return d * d
 
         return lane(0) + lane(1) + lane(2)
 
-    zipped = F.arrays_zip(F.slice(x, SEEDS + 2, SHIFTS).alias("u"), F.slice(y, SEEDS + 2, SHIFTS).alias("v"))
-    apart = F.aggregate(zipped, F.lit(0.0), lambda s, p: s + squares(p)) / (3 * SHIFTS)
+    apart = F.aggregate(F.zip_with(F.slice(x, PLAIN + 1, WORDS), F.slice(y, PLAIN + 1, WORDS), squares), F.lit(0.0), lambda s, d: s + d.cast("double"))
     near = F.greatest(F.lit(0.0), 1 - apart / F.greatest(F.lit(1.0), (na + nb).cast("double")))
     return F.when(x == y, F.lit(1.0)).otherwise(near)
 
 
-def _ranges(df: DataFrame, id_col: str, size: Column) -> Column:
-    """Number of the range that an id falls in; ranges are ascending in ids and hold about RANGE_BYTES each.
-
-    Ids are counted in CELLS cells of equal width, whose sums (so many numbers
-    at any size) are cut into ranges on the driver.
+def _code(df: DataFrame, id_col: str) -> tuple[Column | None, bool]:
+    """A number that never falls where ids rise, and whether it tells all ids apart; None where the type has no such number."""
+    kind, c = df.schema[id_col].dataType, F.col(f"`{id_col}`")
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return c.cast("long"), True
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long"), True
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")), True
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(F.isnan(c), F.lit(1.7e308)).otherwise(c.cast("double")), False
+    if isinstance(kind, T.DecimalType):
+        return c.cast("double"), False
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        raw = F.encode(c, "utf-8") if isinstance(kind, T.StringType) else c
+        ends = df.agg(F.min(raw), F.max(raw)).first()
+        common = len(os.path.commonprefix([bytes(x or b"") for x in ends]))
+        return F.conv(F.rpad(F.hex(F.substring(raw, common + 1, 6)), 12, "0"), 16, 10).cast("double"), False  # the six bytes after what all ids share
+    return None, False
+
+
+def _ranges(df: DataFrame, id_col: str, key: str, size: Column) -> Column:
+    """Number of the range that a row falls in: ascending in (id, key), of about RANGE_BYTES each.
+
+    Null ids have ranges of their own in front, cut by the key. The other ranges
+    are cut at quantiles of the ids, of which there are MAX_RANGES at most at any
+    size; an id that fills several ranges is cut by the key.
     """
-    low, high = df.agg(F.min(id_col), F.max(id_col)).first()
-    if low is None:
+    total, nulls = df.agg(F.sum(size), F.sum(F.when(F.col(id_col).isNull(), size))).first()
+    n = min(MAX_RANGES, -(-(total or 0) // RANGE_BYTES))
+    if n <= 1:
         return F.lit(0)
-    step = max(1, -(-(high - low + 1) // CELLS))
-    cell = F.coalesce(F.expr(f"cast((`{id_col}` - {low}L) div {step}L as int)"), F.lit(0))
-    sums = dict(df.groupBy(cell.alias("cell")).agg(F.sum(size).alias("bytes")).collect())
-    place, held, at = [], 0, 0
-    for c in range(max(sums, default=0) + 1):
-        if held and held + sums.get(c, 0) > RANGE_BYTES:
-            held, at = 0, at + 1
-        held += sums.get(c, 0)
-        place.append(at)
-    if not at:
-        return F.lit(0)
-    numbers = F.split(F.lit(",".join(map(str, place))), ",").cast("array<int>")  # one literal, folded to an array once
-    return F.get(numbers, cell)
+    share = lambda parts: F.least(F.lit(parts - 1), F.floor((F.col(key).cast("double") / 2.0**64 + 0.5) * parts).cast("int"))
+    front = max(1, round(n * nulls / total)) if nulls else 0
+    code, exact = _code(df, id_col)
+    rest = n - front
+    found = df.agg(F.percentile_approx(code, [k / rest for k in range(1, rest)], F.lit(8 * MAX_RANGES))).first()[0] if rest > 1 and code is not None else None
+    place = F.lit(front)
+    if found:
+        bounds = F.split(F.lit(",".join(map(repr, found))), ",").cast("array<long>" if exact else "array<double>")  # one literal, folded to an array once
+        steps = F.array(*(F.lit(1 << k) for k in range(len(found).bit_length() - 1, -1, -1)))
+
+        def upto(within: Callable[[Column], Column]) -> Column:
+            """How many bounds lie within: a search by halves."""
+            ahead = lambda at, step: (at + step <= len(found)) & within(F.get(bounds, at + step - 1))
+            return F.aggregate(steps, F.lit(0), lambda at, step: F.when(ahead(at, step), at + step).otherwise(at))
+
+        hi = upto(lambda b: b <= code)
+        if exact and len(set(found)) < len(found):
+            lo = upto(lambda b: b < code)
+            often = F.floor((F.col(key).cast("double") / 2.0**64 + 0.5) * (hi - lo)).cast("int")
+            hi = F.when(hi - lo > 1, lo + 1 + F.least(hi - lo - 1, often)).otherwise(hi)
+        place = hi + front
+    return F.when(F.col(id_col).isNull(), share(front) if front else F.lit(0)).otherwise(place)
 
 
 def with_next(df: DataFrame, id_col: str, text_col: str, made: Callable[[DataFrame], DataFrame], carried: list[str]) -> tuple[DataFrame, str]:
@@ -153,7 +198,7 @@ def with_next(df: DataFrame, id_col: str, text_col: str, made: Callable[[DataFra
     """
     key, place, name, edge = (fresh(df, x) for x in ("key", "range", "next", "edge"))
     found = df.withColumn(key, F.xxhash64(text_of(text_col)))
-    found = found.withColumn(place, _ranges(found, id_col, F.octet_length(text_of(text_col)) + 64))
+    found = found.withColumn(place, _ranges(found, id_col, key, (F.octet_length(text_of(text_col)) + 64).cast("long")))
     order = F.struct(F.col(id_col).isNotNull().alias("known"), F.col(id_col).alias("id"), F.col(key).alias("key"))
     firsts = stash(found.groupBy(place).agg(F.min(order).alias("first")))
     line = Window.orderBy(place)  # over ranges, of which each holds about RANGE_BYTES of text
@@ -169,27 +214,41 @@ def with_next(df: DataFrame, id_col: str, text_col: str, made: Callable[[DataFra
     return led.withColumn(name, F.coalesce(name, edge)).drop(edge, key, place, "at_range"), name
 
 
-def edited(text: Column, following: Column) -> Column:
-    """The last quarter of the code points replaced by as many from the beginning of the following text (or all of it)."""
+def parted(df: DataFrame, text_col: str) -> tuple[DataFrame, str, str]:
+    """df with the text's beginning, whole lines that end before the last quarter of the code points, and the rest of the line that this quarter begins in."""
+    head, line = fresh(df, "head"), fresh(df, "line")
+    text = F.col(text_col)
     n = F.length(text)
-    k = F.floor(n / 4).cast("int")
-    return F.concat(F.substring(text, F.lit(1), n - k), F.substring(following, F.lit(1), k))
+    kept = F.substring(text, F.lit(1), n - F.floor(n / 4).cast("int"))
+    out = df.withColumn(line, F.substring_index(kept, "\n", -1))
+    return out.withColumn(head, F.substring(text, F.lit(1), F.length(kept) - F.length(line))), head, line
 
 
 def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: its fingerprint, that of its edited text, and how near they and the next one's are."""
+    """One row for each document: its fingerprint, that of its edited text, and how near they and the next one's are.
+
+    Edited: the last quarter of the code points replaced by as many from the
+    beginning of the next text (or all of it).
+    """
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
+    quarter = F.floor(F.length("text") / 4).cast("int")
 
     def own(df: DataFrame) -> DataFrame:
-        out, made = fingerprinted(df, "text")
-        return out.withColumnRenamed(made, "own")
+        out, head, line = parted(df, "text")
+        out = out.withColumn("end", F.concat(F.col(line), F.expr("right(text, cast(floor(length(text) / 4) as int))")))
+        out, a = fingerprinted(out, head)
+        out, b = fingerprinted(out, "end")
+        return out.withColumn("own", combined(a, b)).withColumnRenamed(b, "last").drop(head, "end", a).withColumnRenamed(line, "line")
 
     led, nxt = with_next(docs, "id", "text", own, ["text", "own"])
-    led = led.select("id", "own", F.length("text").cast("long").alias("n_chars"), edited(F.col("text"), F.col(f"{nxt}.text")).alias("edited"), F.col(f"{nxt}.own").alias("next"))
-    both, b = fingerprinted(led, "edited")
+    led = led.withColumn("new", F.concat("line", F.substring(F.col(f"{nxt}.text"), F.lit(1), quarter)))
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - quarter - F.length("line")), "new")
+    led = led.select("id", "own", "last", "new", F.length("text").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), F.col(f"{nxt}.own").alias("next"))
+    both, added = fingerprinted(led, "new")
+    both = both.withColumn("kept", combined("own", "last", -1)).withColumn("edited", combined("kept", added))
     return both.select(
-        F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), shown("own").alias("fingerprint"), shown(b).alias("edited_fingerprint"),
-        likeness("own", b).alias("near_edited"), likeness("own", "next").alias("near_next"),
+        F.col("id").alias(id_col), "n_chars", "edited_sha256", shown("own").alias("fingerprint"), shown("edited").alias("edited_fingerprint"),
+        likeness("own", "edited").alias("near_edited"), likeness("own", "next").alias("near_next"),
     )
 
 
