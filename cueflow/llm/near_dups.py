@@ -23,7 +23,8 @@ probability of (1 - 0.8 ** 4) ** 32 = 5e-8, and less above it.
 Null text is empty text; documents without words have an empty set and are
 linked with nothing. Repeated rows are kept, each with its own result row; rows
 with a null id take part, and a component whose ids are all null has a null
-id (kept is then true). Very long texts are read whole. An empty table gives an empty result.
+id (kept is then true). Very long texts are read whole. An empty table gives an empty
+result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -235,6 +236,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = PERCENT) -> DataFrame:
+    """docs with one row of each group: the one with the least id, nulls last; of equal ids, one of the rows.
+
+    Rows are numbered as they are written, and go by number: an id that is null,
+    repeated, or shared by different texts takes no other row with it. Rows
+    without words are linked with nothing and stay. Columns are those of docs.
+    """
+    row = fresh(docs, "row")
+    docs_ = stash(docs.withColumn(row, F.monotonically_increasing_id()))
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("unknown"), F.col(f"`{id_col}`").alias("id"), F.col(row).alias("row"))
+    found = near_duplicates(docs_.select(key.alias("key"), text_of(text_col).alias("text")), "key", "text", size, percent)
+    gone = found.where(~F.col("kept")).select(F.col("key.row").alias(row))
+    return docs_.join(gone, row, "left_anti").select(*(f"`{c}`" for c in docs.columns))
+
+
 def _edges(docs, nodes, id_col, text_col, size, percent) -> DataFrame:
     """Confirmed links (a, b) between nodes, enough of them to connect all that are linked."""
     width = 2 * BAND
