@@ -32,10 +32,9 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the least id. Five-word shingles, 0.8."""
+    """One row of each near-duplicate group stays, the one with the least id; ids may be null or repeat. Five-word shingles, 0.8."""
     common.small_batches(spark)
-    gone = near_dups.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return near_dups.deduplicated(docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
