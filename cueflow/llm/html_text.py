@@ -2,13 +2,18 @@
 
 Each page's containers are scored by the plain text that stands directly in
 them. A page votes, with that score, for the generalised tag-class path of its
-best container; votes are added up for each host in Spark; then every page is
-read again along its host's winning path. A page that lacks the path, or whose
-url names no host, uses its own best container.
+main container: the article or main element around the best container, else the
+least container that holds all dense ones. Votes are added up for each host in
+Spark; the path with most votes wins, raised to one around it that has at least
+a tenth of the host's votes; then every page is read again along its host's
+winning path. A page that lacks the path, or whose url names no host, uses its
+own main container. Elements of any kind count as noise by tag, role, class or
+id, or where they are hidden.
 
 Null html and html without text give an empty text. Pages that repeat are
 extracted each by itself; an empty table gives an empty result; ties between
-paths go to the lesser path. Other columns stay, also such with the result's names.
+paths go to the lesser path. Other columns stay, also such with the result's
+names. Tags, attributes and nesting have no limit; work is linear in the page.
 """
 
 from __future__ import annotations
@@ -25,20 +30,29 @@ from .common import fresh, small_batches, stash, text_of
 #: Winning paths are broadcast up to this many estimated bytes, else joined by host with a shuffle.
 BROADCAST_BYTES = 16 << 20
 
-#: Containers in a path.
-DEPTH = 40
+#: A container is dense if it holds at least this share of the text of the best one, and this many characters.
+DENSE_SHARE, DENSE_CHARS = 0.04, 40
+#: Share of a host's votes that raises its path to one around it.
+RAISE_SHARE = 0.1
 
 # Fixed values of HTML: elements by their role.
-RAW = frozenset("script style noscript template textarea title iframe svg math".split())
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml".split())
 VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
 CONTAINERS = frozenset("html body div main article section center td table form nav header footer aside menu dialog fieldset blockquote figure details".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre address figcaption summary thead tbody tfoot tr th caption option legend hr".split())
 NOISE_TAGS = frozenset("nav header footer aside menu dialog form fieldset button select option label object canvas audio video head".split())
-NOISE_WORDS = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|header|footer|masthead|"
-    r"cookies?|consent|notices?|gdpr|popup|modal|overlay|subscribe|newsletter|signup|login|share|sharing|social|related|recommend\w*|"
-    r"comments?|disqus|replies|respond|widget|pager|pagination|toolbar|skip|copyright|legal|disclaimer)(?=[^a-z]|$)"
+_RELATED = r"related(?:-(?:posts?|articles?|links?|stories|content|news|items|products|pages|reading|topics))?(?=$| )"
+_STRONG = (
+    r"ads?|advert\w*|sponsor\w*|promo\w*|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|cookies?|consent|gdpr|popup|modal|overlay|"
+    r"subscribe|newsletter|signup|login|share|sharing|social|recommend\w*|comments?|disqus|replies|respond|pager|pagination|toolbar|skip|" + _RELATED
 )
+#: Names of noise in classes and ids of any element, and those that count in containers and lists only.
+NOISE_WORDS = re.compile(rf"(?:^|[^a-z])(?:{_STRONG})(?=[^a-z]|$)")
+CONTAINER_WORDS = re.compile(rf"(?:^|[^a-z])(?:{_STRONG}|banner|header|footer|masthead|notices?|widget|copyright|legal|disclaimer)(?=[^a-z]|$)")
+LISTS = frozenset("ul ol dl".split())
+#: Blocks with an end tag of their own; and those that end where the next of their kind begins.
+CLOSED = LISTS | frozenset("pre address figcaption summary thead tbody tfoot caption legend".split())
+REPEATED = frozenset("li dt dd tr th td option".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
 _NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
@@ -48,8 +62,9 @@ _COMMENT_END = re.compile(r"--!?>")
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _DIGITS = re.compile(r"\d+")
+_HINT = re.compile(r"class|id|role|style", re.I)
 
-#: A block of text: path of its innermost container, text, characters in links.
+#: A block of text: key of its innermost container in the page's tree, text, characters in links.
 Block = tuple[str, str, int]
 
 
@@ -63,18 +78,21 @@ def generalised(tag: str, attrs: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
-def _noisy(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in NOISE_TAGS:
+def _noisy(tag: str, attrs: dict[str, str], in_article: bool = False) -> bool:
+    """Whether an element is noise. A header inside an article or a section is its heading."""
+    heading = tag == "header" and in_article
+    if tag in NOISE_TAGS and not heading:
         return True
     if not attrs:
         return False
-    named = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().replace("_", "-")
+    named = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().replace("_", "-").strip()
+    words = CONTAINER_WORDS if (tag in CONTAINERS or tag in LISTS) and not heading else NOISE_WORDS
     return (
         "hidden" in attrs
         or attrs.get("aria-hidden", "").lower() == "true"
         or attrs.get("role", "").lower() in ROLES
         or bool(_HIDDEN.search(attrs.get("style", "")))
-        or tag not in ("html", "body", "main", "article") and bool(NOISE_WORDS.search(named))
+        or tag not in ("html", "body", "main", "article") and bool(words.search(named))
     )
 
 
@@ -133,11 +151,56 @@ class Tags:
         return end, bool(m[1]), m[2].lower(), page[m.end() : end - 1]
 
 
-def blocks(page: str) -> list[Block]:
-    """Text blocks outside of menus, adverts, forms, scripts and the like, in page order."""
+class Tree:
+    """Containers of a page by their paths: one node for each distinct path, parents first. Keys are short whatever the depth."""
+
+    def __init__(self) -> None:
+        self.part, self.parent = [""], [-1]
+        self.child: dict[tuple[int, str], int] = {}
+
+    def under(self, node: int, part: str) -> int:
+        at = self.child.get((node, part))
+        if at is None:
+            at = self.child[node, part] = len(self.part)
+            self.part.append(part)
+            self.parent.append(node)
+        return at
+
+    def up(self, node: int) -> list[int]:
+        """Nodes from the first container down to this one."""
+        out = []
+        while node > 0:
+            out.append(node)
+            node = self.parent[node]
+        return out[::-1]
+
+    def path(self, node: int) -> str:
+        return ">".join(self.part[k] for k in self.up(node))
+
+    def find(self, path: str) -> int | None:
+        node: int | None = 0
+        for part in path.split(">"):
+            node = self.child.get((node, part))
+            if node is None:
+                return None
+        return node
+
+    def inside(self, top: int) -> list[bool]:
+        """For each node whether it is top or lies in it."""
+        out = [False] * len(self.part)
+        for k in range(top, len(out)):
+            out[k] = k == top or k > 0 and out[self.parent[k]]
+        return out
+
+
+def parsed(page: str) -> tuple[Tree, list[Block]]:
+    """The page's containers, and its text blocks outside of menus, adverts, forms, scripts and the like, in page order."""
+    tree = Tree()
     out: list[Block] = []
-    stack: list[tuple[str, bool, str]] = []  # containers: tag, noisy, path
+    stack: list[tuple[str, bool, int]] = []  # containers, and other elements that are or stand in noise: tag, noisy, node
+    open_: dict[str, int] = {}  # elements on the stack by tag
     skip = 0  # depth in noisy elements
+    articles = 0
     links = 0
     buf: list[str] = []
     linked = 0
@@ -146,14 +209,31 @@ def blocks(page: str) -> list[Block]:
 
     def flush() -> None:
         nonlocal linked
+        if skip:  # what is held stands before noise within a line
+            return
         if buf:
             raw = "".join(buf)
             text = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
-            if text and not skip:
-                out.append((stack[-1][2] if stack else "", text, min(linked, len(text))))
+            if text:
+                out.append((str(stack[-1][2] if stack else 0), text, min(linked, len(text))))
             buf.clear()
         linked = 0
 
+    def push(tag: str, noisy: bool, node: int) -> None:
+        nonlocal skip, articles
+        stack.append((tag, noisy, node))
+        open_[tag] = open_.get(tag, 0) + 1
+        skip += noisy
+        articles += tag in ("article", "main", "section")
+
+    def pop_to(k: int) -> None:
+        nonlocal skip, articles
+        for tag, noisy, _ in stack[k:]:
+            open_[tag] -= 1
+            skip -= noisy
+            articles -= tag in ("article", "main", "section")
+        del stack[k:]
+
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -179,63 +259,84 @@ def blocks(page: str) -> list[Block]:
                 at = end.end() if end else n
             continue
         if tag == "br":
-            buf.append(" ")
+            if not skip:
+                buf.append(" ")
             continue
         if tag == "a":
             links = 0 if closing else 1
+        container = tag in CONTAINERS or tag in NOISE_TAGS
+        if container or tag in BLOCKS:
+            flush()
+        if closing:
+            if open_.get(tag):
+                k = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag)
+                pop_to(k)
+            if container:
+                links = 0
             continue
-        if tag not in BLOCKS and tag not in NOISE_TAGS:
-            continue
-        flush()
-        if tag not in CONTAINERS and tag not in NOISE_TAGS:
+        if stack and tag in BLOCKS and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in REPEATED):
+            pop_to(len(stack) - 1)  # noise whose end tag is left out
+        if tag in VOID or raw.endswith("/"):
             continue
-        if closing:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if k is not None:
-                skip -= sum(x[1] for x in stack[k:])
-                del stack[k:]
-            links = 0
-        elif tag not in VOID and not raw.endswith("/"):
+        if container:
             attrs = _attributes(raw)
-            noisy = _noisy(tag, attrs)
-            if len(stack) >= DEPTH:  # paths of very deep pages end here, so they stay short
-                path = stack[-1][2]
-            else:
-                path = f"{stack[-1][2]}>{generalised(tag, attrs)}" if stack else generalised(tag, attrs)
-            stack.append((tag, noisy, path))
-            skip += noisy
+            part = generalised("main" if attrs.get("role", "").lower() == "main" else tag, attrs)
+            push(tag, _noisy(tag, attrs, articles > 0), tree.under(stack[-1][2] if stack else 0, part))
+        elif raw and _HINT.search(raw) and _noisy(tag, _attributes(raw)):
+            push(tag, True, stack[-1][2] if stack else 0)
+        elif skip and (tag in CLOSED or open_.get(tag)):
+            push(tag, False, stack[-1][2])
     flush()
-    return out
+    return tree, out
 
 
-def best_path(found: list[Block]) -> tuple[str, int]:
-    """The container path with most plain text directly in it, raised to an enclosing article or main; its score."""
-    scores: dict[str, int] = {}
-    for path, text, linked in found:
-        if path:
-            scores[path] = scores.get(path, 0) + max(0, len(text) - 2 * linked)
-    if not scores:
-        return "", 0
-    path = min(scores, key=lambda p: (-scores[p], p))
-    parts = path.split(">")
-    for i, part in enumerate(parts):
-        if part.split(".")[0] in ("article", "main"):
-            return ">".join(parts[: i + 1]), scores[path]
-    return path, scores[path]
+def blocks(page: str) -> list[Block]:
+    """Text blocks outside of noise, in page order."""
+    return parsed(page)[1]
 
 
-def within(path: str, top: str) -> bool:
-    return path == top or path.startswith(top + ">")
+def _main_node(tree: Tree, found: list[Block]) -> tuple[int, int]:
+    """The main container: the article or main element around the best container, else what holds all dense ones; and its votes."""
+    scores: dict[int, int] = {}
+    for key, text, linked in found:
+        node = int(key)
+        if node:
+            scores[node] = scores.get(node, 0) + max(0, len(text) - 2 * linked)
+    if not scores:
+        return 0, 0
+    most = max(scores.values())
+    best = min((k for k in scores if scores[k] == most), key=tree.path) if sum(v == most for v in scores.values()) > 1 else max(scores, key=scores.__getitem__)
+    way = tree.up(best)
+    for node in way:
+        if tree.part[node].split(".")[0] in ("article", "main"):
+            return node, scores[best]
+    shared = len(way)
+    for node, score in scores.items():
+        if score >= max(DENSE_CHARS, DENSE_SHARE * most):
+            other = tree.up(node)
+            shared = min(shared, next((i for i, (a, b) in enumerate(zip(way, other, strict=False)) if a != b), min(len(way), len(other))))
+    return (way[shared - 1] if shared else 0), scores[best]
+
+
+def best_path(page: str) -> tuple[str, int]:
+    """Path of the page's main container, and its votes."""
+    tree, found = parsed(page)
+    node, votes = _main_node(tree, found)
+    return tree.path(node), votes
 
 
 def extract(page: str, winner: str | None = None) -> str:
-    """Main text along the host's winning path, else along the page's own best path; blocks joined by blank lines."""
-    found = blocks(page)
-    kept = [t for p, t, _ in found if within(p, winner)] if winner else []
-    if not kept:
-        own = best_path(found)[0]
-        kept = [t for p, t, _ in found if not own or within(p, own)]
-    return "\n\n".join(kept)
+    """Main text along the host's winning path, else of the page's own main container; blocks joined by blank lines."""
+    tree, found = parsed(page)
+    top = tree.find(winner) if winner else None
+    for node in ([top] if top is not None else []) + [None]:
+        if node is None:
+            node = _main_node(tree, found)[0]
+        inside = tree.inside(node)
+        kept = [t for k, t, _ in found if inside[int(k)]]
+        if kept:
+            return "\n\n".join(kept)
+    return ""
 
 
 def host_of(url: str = "url") -> Column:
@@ -243,20 +344,25 @@ def host_of(url: str = "url") -> Column:
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path): the path with most votes on each host. Votes are added up before and after the shuffle."""
+    """(host, path): the path that wins on each host. Votes are added up before and after the shuffle.
+
+    Of a host's paths those with a tenth of its votes are compared, ten at most.
+    """
 
     @F.pandas_udf("path string, score long")
     def voted(pages: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([best_path(blocks(p)) for p in pages], columns=["path", "score"])
+        return pd.DataFrame([best_path(p) for p in pages], columns=["path", "score"])
 
-    return (
+    votes = (
         pages.select(host_of(url_col).alias("host"), voted(text_of(html_col)).alias("v"))
         .groupBy("host", F.col("v.path").alias("path"))
         .agg(F.sum("v.score").alias("votes"))
         .where((F.col("host") != "") & (F.col("path") != "") & (F.col("votes") > 0))
-        .groupBy("host")
-        .agg(F.min_by("path", F.struct(-F.col("votes"), F.col("path"))).alias("path"))
     )
+    votes = stash(votes)
+    top = votes.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), F.col("path"))).alias("top"), F.sum("votes").alias("all"))
+    around = votes.join(top, "host").where((F.col("path") == F.col("top")) | F.startswith("top", F.concat("path", F.lit(">"))) & (F.col("votes") >= RAISE_SHARE * F.col("all")))
+    return around.groupBy("host").agg(F.min_by("path", F.length("path")).alias("path"))
 
 
 def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> tuple[DataFrame, str]:
