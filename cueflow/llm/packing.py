@@ -2,7 +2,7 @@
 
 Documents are tokenised; document frequencies and the mean length are counted
 over all of them. They are then set in a line by a sketch of their ids (minimum
-hashes, weighted by rarity), and the line is cut into shards of bounded size, so
+hashes, weighted by rarity), and the line is cut into ranges and shards of bounded size, so
 that related documents and copies tend to stand in one shard; what is lost is in
 the README. Each shard gets an inverted index over its token ids, queried with
 all ids of the seed.
@@ -38,12 +38,18 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
 #: Text in a shard, about; a shard's ids are held by one task.
 SHARD_BYTES = 8 << 20
-#: Ids are below this number.
+#: Ids are below this number; larger vocabularies are refused.
 IDS = 1 << 16
+#: Ranges of the line at most, so that what the driver holds is bounded; a task cuts its ranges into shards as it reads them.
+MAX_RANGES = 1 << 13
+#: Shards that one task packs one after the other, about.
+SHARDS_PER_TASK = 16
 #: Minima that place a document on the line.
 KEY_TERMS = 3
+#: Neighbours that are put in order at a time.
+NEIGHBOURS = 32
 #: Terms in more than this share of a shard's documents are kept as rows of a matrix.
-DENSE = 0.125
+DENSE = 0.3
 K1, B = 1.2, 0.75
 
 #: (document, start, length, sequence, offset)
@@ -60,9 +66,11 @@ class Stats:
 
     @staticmethod
     def of(docs: list[np.ndarray]) -> Stats:
-        df = np.zeros(IDS, np.int64)
+        df, last = np.zeros(IDS, np.int64), np.empty(IDS, np.int64)
         for d in docs:
-            df[np.unique(d)] += 1
+            at = np.arange(len(d))
+            last[d] = at
+            df[d[last[d] == at]] += 1  # each id once, where it stands last
         return Stats(len(docs), sum(map(len, docs)) / max(1, len(docs)), df)
 
     def ranks(self) -> np.ndarray:
@@ -79,56 +87,68 @@ class Stats:
         return rank
 
 
+def distinct(ids: np.ndarray) -> np.ndarray:
+    """Distinct ids, ascending."""
+    x = np.sort(ids, kind="stable")  # 16 bits: by radix
+    return x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+
 class Index:
     """Inverted index of one shard: postings by term, with BM25 weights by the statistics of all documents."""
 
     def __init__(self, docs: list[np.ndarray], stats: Stats):
-        self.terms, self.counts = zip(*(np.unique(d, return_counts=True) for d in docs), strict=True) if docs else ((), ())
-        owner = np.repeat(np.arange(len(docs)), [len(t) for t in self.terms])
-        term = np.concatenate(self.terms) if docs else np.empty(0, np.int64)
-        tf = np.concatenate(self.counts).astype(np.float64) if docs else np.empty(0)
-        size = np.array([len(d) for d in docs], np.float64)
+        self.n = len(docs)
+        size = np.array([len(d) for d in docs], np.int64)
+        pair = np.repeat(np.arange(self.n, dtype=np.int64), size) << 16 | (np.concatenate(docs).astype(np.int64) if docs else np.empty(0, np.int64))
+        pair, tf = np.unique(pair, return_counts=True)
+        owner, term = pair >> 16, pair & (IDS - 1)
         norm = K1 * (1 - B + B * size / max(1.0, stats.mean))
-        order = np.argsort(term, kind="stable")
+        order = np.argsort(term.astype(np.uint16), kind="stable")  # 16 bits: sorted by radix
         self.vocabulary, first, df = np.unique(term[order], return_index=True, return_counts=True)
         every = stats.df[self.vocabulary]
         idf = np.log1p((stats.n - every + 0.5) / (every + 0.5))
         self.owner = owner[order]
-        self.weight = (tf * (K1 + 1) / (tf + norm[owner]))[order] * np.repeat(idf, df) if docs else tf
+        self.weight = (tf * (K1 + 1) / (tf + norm[owner]))[order] * np.repeat(idf, df)
         self.begin, self.end = first, first + df
-        self.n = len(docs)
         common = np.flatnonzero(df > DENSE * self.n)
         self.row = np.full(len(df), -1)
         self.row[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), self.n))
+        self.dense = np.zeros((len(common), self.n), np.float32)
         for r, t in enumerate(common.tolist()):
             a, b = self.begin[t], self.end[t]
             self.dense[r, self.owner[a:b]] = self.weight[a:b]
 
-    def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document of the shard for all terms of the seed."""
-        at = np.searchsorted(self.vocabulary, self.terms[seed])
+    def scores(self, terms: np.ndarray) -> np.ndarray:
+        """BM25 of every document of the index for distinct terms."""
+        at = np.searchsorted(self.vocabulary, terms)
+        at = at[self.vocabulary[np.minimum(at, len(self.vocabulary) - 1)] == terms] if len(self.vocabulary) else at[:0]
         row = self.row[at]
-        asked = np.zeros(len(self.dense))
+        rare = at[row < 0]
+        cuts = [slice(a, b) for a, b in zip(self.begin[rare].tolist(), self.end[rare].tolist(), strict=True)]
+        asked = np.zeros(len(self.dense), np.float32)
         asked[row[row >= 0]] = 1.0
-        score = asked @ self.dense
-        begin, end = self.begin, self.end
-        for t in at[row < 0].tolist():
-            a, b = begin[t], end[t]
-            if b - a > 1:  # else the seed alone has it
-                score[self.owner[a:b]] += self.weight[a:b]  # a document stands once in a posting list
+        score = (asked @ self.dense).astype(np.float64)
+        if cuts:
+            score += np.bincount(np.concatenate([self.owner[c] for c in cuts]), np.concatenate([self.weight[c] for c in cuts]), self.n)
         return score
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term with the seed, best score first; ties by number."""
-        score = self.scores(seed)
-        found = np.flatnonzero(unused & (score > 0))
-        return found[np.argsort(-score[found], kind="stable")]
+    def neighbours(self, terms: np.ndarray, unused: np.ndarray) -> Iterator[int]:
+        """Unused documents that have one of the seed's terms, best score first; ties by number."""
+        score = np.where(unused, self.scores(terms), 0.0)
+        left, some = int((score > 0).sum()), NEIGHBOURS
+        while left > 0:
+            least = np.partition(score, self.n - min(some, left))[self.n - min(some, left)]
+            found = np.flatnonzero(score >= least)
+            yield from found[np.argsort(-score[found], kind="stable")].tolist()
+            score[found] = 0.0
+            left, some = left - len(found), 8 * some
 
 
 def pack(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None = None) -> list[Piece]:
     """Pieces of all documents of a shard; each id lies in exactly one, windows are full but for the end."""
-    index, unused = Index(docs, stats or Stats.of(docs)), np.ones(len(docs), bool)
+    stats = stats or Stats.of(docs)
+    live = np.arange(len(docs))  # documents of the index; it is built again when half of them are used
+    index, unused = Index(docs, stats), np.ones(len(docs), bool)
     order: list[tuple[int, int, int]] = []  # document, start, length in the line of windows
     room, seed, ahead, rest = window, 0, iter(()), None
 
@@ -168,7 +188,10 @@ def pack(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None = Non
         if start < len(docs[d]):
             rest = (d, start)
         elif fresh_window and room < window:
-            ahead = iter(index.neighbours(d, unused).tolist())
+            if 2 * int(unused[live].sum()) < len(live):
+                live = np.flatnonzero(unused)
+                index = Index([docs[k] for k in live], stats)
+            ahead = (int(live[k]) for k in index.neighbours(distinct(docs[d]), unused[live]))
     return _cut(order, sum(map(len, docs)), window)
 
 
@@ -214,10 +237,8 @@ def statistics(rows: DataFrame) -> Stats:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, n, total = np.zeros(IDS, np.int64), 0, 0
         for batch in batches:
-            for x in batch["ids"]:
-                d = np.frombuffer(x, np.uint16)
-                df[np.unique(d)] += 1
-                n, total = n + 1, total + len(d)
+            own = Stats.of([np.frombuffer(x, np.uint16) for x in batch["ids"]])
+            df, n, total = df + own.df, n + own.n, total + round(own.mean * own.n)
         if n:
             at = np.flatnonzero(df)
             yield pd.DataFrame({"term": np.append(at, [-1, -2]), "n": np.append(df[at], [n, total])})
@@ -234,6 +255,8 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     lengths = tokenizer.replace(".json", ".tiktoken")
+    if len(bpe.byte_lengths(lengths)) > IDS:
+        raise ValueError(f"{tokenizer} has more than {IDS} ids")
 
     @F.pandas_udf("binary")
     def ids(texts: pd.Series) -> pd.Series:
@@ -244,52 +267,73 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     rows = stash(docs.select(F.col(f"`{id_col}`").alias("id"), ids(text_of(text_col)).alias("ids"), (F.octet_length(text_of(text_col)) + 16).cast("long").alias("size"), tie.alias("tie")))
     total = rows.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
+    ranges = min(shards, MAX_RANGES)
     stats = statistics(rows)
     held = spark.sparkContext.broadcast((stats, stats.ranks()))
 
+    def keys(ids: pd.Series, ties: pd.Series) -> list[bytes]:
+        rank = held.value[1]
+        return [line_key(np.frombuffer(x, np.uint16), rank, t) for x, t in zip(ids, ties.tolist(), strict=True)]
+
     @F.pandas_udf("binary")
     def line(ids: pd.Series, ties: pd.Series) -> pd.Series:
-        rank = held.value[1]
-        return pd.Series([line_key(np.frombuffer(x, np.uint16), rank, t) for x, t in zip(ids, ties.tolist(), strict=True)])
+        return pd.Series(keys(ids, ties))
 
     # a row is drawn with a chance in proportion to its size; the draw is a hash, so a lost task draws alike again
-    draw = (F.xxhash64("tie", F.lit("draw")).cast("double") / 2.0**64 + 0.5) < F.col("size") * (shards * SAMPLES_PER_RANGE / max(1, total))
-    sample = [bytes(r.line) for r in rows.where(draw).select(line("ids", "tie").alias("line")).collect()] if shards > 1 else []
-    split = spark.sparkContext.broadcast(splitters(sample, shards))
+    draw = (F.xxhash64("tie", F.lit("draw")).cast("double") / 2.0**64 + 0.5) < F.col("size") * (ranges * SAMPLES_PER_RANGE / max(1, total))
+    sample = [bytes(r.line) for r in rows.where(draw).select(line("ids", "tie").alias("line")).collect()] if ranges > 1 else []
+    split = spark.sparkContext.broadcast(splitters(sample, ranges))
 
-    @F.pandas_udf("int")
-    def shard(lines: pd.Series) -> pd.Series:
-        return pd.Series(shard_of(np.array([*lines], "S16"), split.value))
+    @F.pandas_udf("line binary, range int")
+    def placed(ids: pd.Series, ties: pd.Series) -> pd.DataFrame:
+        lines = keys(ids, ties)
+        return pd.DataFrame({"line": lines, "range": shard_of(np.array(lines, "S16"), split.value)})
 
-    rows = rows.select("id", "ids", line("ids", "tie").alias("line")).withColumn("shard", shard("line"))
-    parts = max(1, min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    rows = rows.repartition(parts, "shard").sortWithinPartitions("shard", "line", "id")
+    rows = rows.select("id", "ids", placed("ids", "tie").alias("at")).select("id", "ids", "at.line", "at.range")
+    parts = min(ranges, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // SHARDS_PER_TASK)))
+    rows = rows.repartition(parts, "range").sortWithinPartitions("range", "line", "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for shard, part in _shards(batches):
+        at, last = 0, -1
+        for number, part in _shards(batches, SHARD_BYTES):
+            at, last = (at, last) if number == last else (0, number)
             docs = [np.frombuffer(x, np.uint16) for x in part["ids"]]
             pieces = pack(docs, window, held.value[0])
             crc = [zlib.crc32(docs[d][a : a + n].astype("<u4").tobytes()) for d, a, n, _, _ in pieces]
             d, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
             yield pd.DataFrame({
                 id_col: part["id"].iloc[d].to_numpy(), "start": start, "length": length, "ids_crc32": crc,
-                "doc_tokens": np.array([len(x) for x in docs], np.int64)[d], "sequence_id": (int(shard) << 32) + sequence, "offset": offset,
+                "doc_tokens": np.array([len(x) for x in docs], np.int64)[d], "sequence_id": (int(number) << 40) + at + sequence, "offset": offset,
             })
+            at += int(sequence[-1]) + 1
 
     return rows.mapInPandas(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
-    """Shard after shard from batches sorted by shard."""
+def _shards(batches: Iterator[pd.DataFrame], most: int) -> Iterator[tuple[int, pd.DataFrame]]:
+    """Shard after shard, with its range, from batches sorted by range and line; a range of more than ``most`` bytes of ids is cut into several."""
     held: list[pd.DataFrame] = []
+    size = 0
+
+    def taken(limit: int) -> pd.DataFrame:
+        """The first rows of what is held, up to ``limit`` bytes and at least one."""
+        nonlocal held, size
+        rows = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+        bytes_ = rows["ids"].map(len).to_numpy()
+        n = max(1, int(np.searchsorted(np.cumsum(bytes_), limit, side="right")))
+        held, size = ([rows.iloc[n:]] if n < len(rows) else []), int(bytes_[n:].sum())
+        return rows.iloc[:n]
+
     for batch in batches:
-        for shard, part in batch.groupby("shard", sort=True):
-            if held and held[0]["shard"].iloc[0] != shard:
-                yield held[0]["shard"].iloc[0], pd.concat(held, ignore_index=True)
-                held = []
+        for number, part in batch.groupby("range", sort=True):
+            if held and held[0]["range"].iloc[0] != number:
+                yield int(held[0]["range"].iloc[0]), taken(size)
             held.append(part)
+            size += int(part["ids"].map(len).sum())
+            while size > most and sum(map(len, held)) > 1:
+                yield int(number), taken(most // 2)
     if held:
-        yield held[0]["shard"].iloc[0], pd.concat(held, ignore_index=True)
+        yield int(held[0]["range"].iloc[0]), taken(size)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

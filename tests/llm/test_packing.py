@@ -26,11 +26,11 @@ def test_scores_use_all_terms_and_all_documents():
     index = packing.Index(docs, packing.Stats.of(docs))
     for seed in (0, 7, 59):
         others = np.arange(60) != seed
-        assert np.allclose(index.scores(seed)[others], brute(docs, seed)[others])
+        assert np.allclose(index.scores(np.unique(docs[seed]))[others], brute(docs, seed)[others])
     # a shard scores by the statistics of all documents, not by its own
     part = packing.Index(docs[:20], packing.Stats.of(docs))
     others = np.arange(20) != 7
-    assert np.allclose(part.scores(7)[others], brute(docs, 7)[:20][others])
+    assert np.allclose(part.scores(np.unique(docs[7]))[others], brute(docs, 7)[:20][others])
 
 
 def test_seed_with_many_ids_of_its_own_finds_its_relative():
@@ -38,8 +38,8 @@ def test_seed_with_many_ids_of_its_own_finds_its_relative():
     other = [np.array([5, 6, 7, k + 1000], np.uint16) for k in range(40)]
     docs = [seed, np.append(seed[:3], np.arange(300, 340)).astype(np.uint16), *other]
     docs += [np.array([*seed[:3], 9], np.uint16)] * 2
-    found = packing.Index(docs, packing.Stats.of(docs)).neighbours(0, np.arange(len(docs)) > 0)
-    assert {*found[:3].tolist()} == {1, 42, 43}
+    found = [*packing.Index(docs, packing.Stats.of(docs)).neighbours(np.unique(docs[0]), np.arange(len(docs)) > 0)]
+    assert {*found[:3]} == {1, 42, 43}
 
 
 def test_copies_and_relatives_share_a_shard(spark, monkeypatch):
@@ -49,6 +49,37 @@ def test_copies_and_relatives_share_a_shard(spark, monkeypatch):
     text = lambda k: " ".join(f"{w} of all" for w in rng.permutation(own[k]))
     rows = [(1000 * c + k, text(k)) for c in range(2) for k in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    got = {r.doc_id: r.sequence_id >> 32 for r in packing.packed(df).select("doc_id", "sequence_id").distinct().collect()}
+    got = {r.doc_id: r.sequence_id >> 40 for r in packing.packed(df).select("doc_id", "sequence_id").distinct().collect()}
     assert len({*got.values()}) > 5
     assert sum(got[k] == got[1000 + k] for k in range(200)) >= 180
+
+
+def test_neighbours_are_in_brute_force_order():
+    rng = np.random.default_rng(8)
+    docs = [np.append(rng.zipf(1.4, int(rng.integers(1, 120))) % 400 + 2, 1).astype(np.uint16) for _ in range(150)]
+    index = packing.Index(docs, packing.Stats.of(docs))
+    for seed in (3, 77):
+        unused = np.arange(150) % 5 > 0
+        unused[seed] = False
+        want, got = brute(docs, seed), [*index.neighbours(np.unique(docs[seed]), unused)]
+        assert sorted(got) == np.flatnonzero(unused & (want > 0)).tolist()  # every one, not the first few
+        assert all(want[a] >= want[b] - 1e-4 for a, b in zip(got, got[1:], strict=False))
+
+
+def test_large_ranges_are_cut(spark, monkeypatch):
+    """One range, several shards: sequences keep their own numbers and offsets."""
+    monkeypatch.setattr(packing, "MAX_RANGES", 1)
+    monkeypatch.setattr(packing, "SHARD_BYTES", 3000)
+    rows = [(k, " ".join(f"w{(k * 7 + i) % 97}" for i in range(k % 90))) for k in range(300)]
+    out = packing.packed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by: dict = {}
+    for r in out:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in by.values():
+        at = 0
+        for o, n in sorted(pieces):
+            assert o == at
+            at += n
+        assert at <= 2048 and at & (at - 1) == 0
+    assert sum(r.length for r in out) == sum({r.doc_id: r.doc_tokens for r in out}.values())
+    assert len({r.doc_id for r in out}) == 300 and sum(n & (n - 1) == 0 and n < 2048 for n in (sum(x for _, x in p) for p in by.values())) > 5
