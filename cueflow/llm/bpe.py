@@ -2,16 +2,21 @@
 
 A long text is cut into chunks that overlap. Each chunk is encoded by itself,
 and neighbours are spliced at a *proven* boundary: a single space between two
-characters that are not white space. The pre-tokeniser's pattern must start a
-new match at such a space whatever stands before it, so both encodings have a
-token edge there and agree on everything after it. Where an overlap holds no
-proven edge that both encodings share, the overlap is doubled, up to the whole text.
+visible characters, or a place between a letter and a mark that is neither
+letter, number nor space (no apostrophe, which contractions begin with). The
+pre-tokeniser's pattern must start a new match there whatever stands before, so
+both encodings have a token edge there and agree on everything after it. The
+classes hold for letters of any script, as far as Unicode 3.2 and the version of
+this Python agree on them. Where an overlap holds no proven edge that both
+encodings share, the overlap is doubled, up to the whole text: a text of
+letters alone is one match of the pattern and cannot be cut at all.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -29,7 +34,22 @@ END_OF_TEXT = ("<|endoftext|>", 50256)
 
 #: Characters on whose classes every Unicode version of the libraries agrees.
 _PLAIN = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-ɏ‐-‧]")
-_EDGE = re.compile(r"(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
+
+
+def _class_of(wanted: str, without: str = "") -> str:
+    """Character class of the code points whose general categories, in both Unicode versions, begin with one of ``wanted``."""
+    old, new = unicodedata.ucd_3_2_0.category, unicodedata.category
+    hit = [c for c in range(0x110000) if new(chr(c))[0] in wanted and old(chr(c))[0] in wanted and chr(c) not in without]
+    first = [c for k, c in enumerate(hit) if not k or hit[k - 1] != c - 1]
+    last = [c for k, c in enumerate(hit) if k + 1 == len(hit) or hit[k + 1] != c + 1]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first, last, strict=True))
+
+
+@lru_cache(maxsize=None)
+def proven_edges() -> re.Pattern:
+    """Matches at proven edges. The marks leave out those of the added token's string, which must not be cut."""
+    letter, mark, visible = _class_of("L"), _class_of("PSM", "'’" + END_OF_TEXT[0]), _class_of("LNPSM")
+    return re.compile(f"(?<=[{visible}]) (?=[{visible}])|(?<=[{letter}])(?=[{mark}])|(?<=[{mark}])(?=[{letter}])")
 
 
 @lru_cache(maxsize=None)
@@ -66,7 +86,7 @@ def json_tokenizer(name: str) -> Tokenizer:
 
 def encode_ranks(text: str, name: str) -> np.ndarray:
     """Ids as the rank library gives them, without special tokens."""
-    return rank_encoding(name).encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
+    return np.array(rank_encoding(name).encode_ordinary(text), np.uint32)
 
 
 def encode_json(text: str, name: str = "byte_bpe_50k.json") -> np.ndarray:
@@ -136,7 +156,7 @@ def encode_window(text, lo, hi, encode, lengths, at) -> tuple[np.ndarray, np.nda
 
 def _common_edge(text, lo, hi, left, right, at) -> int | None:
     """The proven edge nearest to the middle of [lo, hi) that both encodings have."""
-    edges = [m.start() for m in _EDGE.finditer(text, lo, hi)]
+    edges = [m.start() for m in proven_edges().finditer(text, lo, hi)]
     middle = (lo + hi) // 2
     for e in sorted(edges, key=lambda e: (abs(e - middle), e)):
         b = at(e)

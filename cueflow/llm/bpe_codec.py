@@ -5,7 +5,8 @@ where their pre-token boundaries resynchronise at a proven edge, and the pieces
 between stitches are then encoded one by one. Decoding concatenates each id's bytes.
 
 Null text is empty text: no ids, the digests of nothing. Repeated rows are
-encoded each by itself; an empty table gives an empty result.
+encoded each by itself; an empty table gives an empty result; other columns stay,
+also such with the result's names. Texts of any length are encoded whole.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ def _boundaries(text: str, lo: int, hi: int) -> list[int]:
 def pieces(text: str, chunk: int = bpe.CHUNK_CHARS, overlap: int = bpe.OVERLAP_CHARS) -> list[str]:
     """Cuts of the text at pre-token boundaries that two overlapping chunks agree on.
 
-    A cut is taken at a boundary of both chunks where a single space stands
-    between two visible characters. Without one the overlap is doubled.
+    A cut is taken at a boundary of both chunks that is a proven edge. Without
+    one the overlap is doubled.
     """
     n, out, begin = len(text), [], 0
     while n - begin > chunk:
@@ -47,7 +48,7 @@ def pieces(text: str, chunk: int = bpe.CHUNK_CHARS, overlap: int = bpe.OVERLAP_C
         while cut + wide < n:
             lo, hi = max(begin, cut - wide), cut + wide
             left, right = set(_boundaries(text, begin, hi)), set(_boundaries(text, lo, min(n, hi + wide)))
-            common = [m.start() for m in bpe._EDGE.finditer(text, lo + 1, hi) if m.start() in left and m.start() in right]
+            common = [m.start() for m in bpe.proven_edges().finditer(text, lo + 1, hi) if m.start() in left and m.start() in right]
             if common:
                 break
             wide *= 2
