@@ -12,10 +12,16 @@ one) become candidates:
    for registers that agree by chance, with five standard errors of slack; the
    rest are confirmed on their full sets and connected.
 2. Bands that still hold nodes of different components are merged into groups
-   by their largest component. In blocks of bounded size the sketches of a
-   group are compared, then the full sets of the nodes that have a likely
-   partner; a block returns the links that connect it, not its pairs. So each
-   pair of nodes of a band is confirmed, refuted, or already connected.
+   by their largest component. A group of at most BLOCK nodes compares its
+   sketches in one task, and then the full sets of the nodes that have a likely
+   partner. The nodes of larger groups are grouped anew, by the shingles of
+   their prefixes: all shingles are set in one order, frequent ones last, and two
+   sets at the threshold share one of the first fifth of each. So documents that
+   only have frequent passages in common part ways, at a cost in proportion to
+   their sets. Full sets are compared in blocks of bounded nodes and bytes; a
+   block returns the links that connect it, not its pairs. So each pair of nodes
+   of a band is confirmed, refuted, or already connected. Only groups of sets
+   that nearly all come near the threshold with each other need more than one block.
 
 Two sets at a similarity of exactly 0.8 share none of the 32 bands with a
 probability of (1 - 0.8 ** 4) ** 32 = 5e-8, and less above it.
@@ -46,8 +52,10 @@ MANTISSA_BITS = 10
 PERCENT = 80
 #: Standard errors by which an estimate may fall short of the threshold.
 SLACK = 5.0
-#: Nodes of a group that are compared with each other in one task.
-BLOCK = 2000
+#: Nodes of a block, and bytes of their full sets, about; a task holds two blocks.
+BLOCK, BLOCK_BYTES = 500, 16 << 20
+#: Counters for the frequency of shingles, by hash; their number bounds what the driver holds.
+COUNTERS = 1 << 16
 #: Rows wanted from the documents are broadcast up to this number, else joined with a shuffle.
 BROADCAST_ROWS = 400_000
 #: Word hashes kept in a worker at a time.
@@ -188,9 +196,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, s
         return pd.Series([shingle_set(t, size).tobytes() for t in texts])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
-    wanted = stash(wanted.select("node", F.col("row.key").alias("wkey"), F.col("row.id").alias("wid")))
-    if wanted.count() <= BROADCAST_ROWS:  # some tens of bytes each
-        wanted = F.broadcast(wanted)
+    wanted = _hinted(wanted.select("node", F.col("row.key").alias("wkey"), F.col("row.id").alias("wid")))  # some tens of bytes each
     found = rows.join(wanted, (rows.key == wanted.wkey) & rows.id.eqNullSafe(wanted.wid)).select("node", made("text").alias("set"))
     return stash(found.groupBy("node").agg(F.first("set").alias("set")))
 
@@ -270,39 +276,97 @@ def _edges(docs, nodes, id_col, text_col, size, percent) -> DataFrame:
     roots = components(edges)
     placed = shared.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     placed = stash(placed)
+    groups = stash(_mixed_groups(placed))
+    large = _hinted(groups.groupBy("major").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("major"))
+    few = groups.join(large, "major", "left_anti").join(nodes.select("node", "sketch", "n"), "node")
+    few = few.withColumn("bytes", F.lit(0).cast("long"))
+    late = _in_blocks(few, "node long, root long, sketch binary, n long", _likely_nodes(percent), "major long, node long, root long").distinct()
+    many = stash(groups.join(large, "major", "left_semi").select("node", "root").distinct())
+
+    late = stash(late)
+    known = late.select("node").union(many.select("node")).distinct().join(sets, "node", "left_anti")
+    sets = sets.unionByName(_full_sets(docs, row(known), id_col, text_col, size))
+    if not many.isEmpty():
+        late = late.unionByName(_prefix_groups(many.join(sets, "node"), percent).withColumn("major", -1 - F.col("major")))
+    late = late.join(sets, "node").withColumn("bytes", F.octet_length("set").cast("long"))
+    return edges.unionByName(stash(_in_blocks(late, "node long, root long, set binary", _block_links(percent), "a long, b long")))
+
+
+def _hinted(df: DataFrame) -> DataFrame:
+    """df written; broadcast where it is short."""
+    df = stash(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _mixed_groups(placed: DataFrame) -> DataFrame:
+    """(major, node, root) from (key, node, root): keys of more than one component, merged by the largest of them."""
     mixed = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots")).where("roots > 1").select("key", "major")
-    mixed = stash(mixed)
-    groups = stash(placed.join(mixed, "key").select("major", "node", "root").distinct())
+    # written, so that the join shuffles both sides and a key with very many nodes can be split
+    return placed.join(stash(mixed), "key").select("major", "node", "root").distinct()
 
-    at = groups.join(nodes.select("node", "sketch", "n"), "node")
-    with_partner = stash(_in_blocks(at, "node long, root long, sketch binary, n long", _likely_nodes(percent), "major long, node long, root long").distinct())
-    known = with_partner.select("node").distinct().join(sets, "node", "left_anti")
-    sets = sets.unionByName(_full_sets(docs, row(known), id_col, text_col, size))
-    late = _in_blocks(with_partner.join(sets, "node"), "node long, root long, set binary", _block_links(percent), "a long, b long")
-    return edges.unionByName(stash(late))
+
+def prefix_size(n: int, percent: int) -> int:
+    """Shingles of a set of n, the first in any common order, of which two sets at the threshold share one."""
+    return n - -(-percent * n // 100) + 1
+
+
+def _prefix_groups(members: DataFrame, percent: int) -> DataFrame:
+    """(major, node, root) of members (node, root, set) that share a shingle of their prefixes with another component."""
+    spark = members.sparkSession
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for x in batch["set"]:
+                total += np.bincount((np.frombuffer(x, np.uint64) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"counter": at, "n": total[at]})
+
+    got = members.select("set").mapInPandas(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect()
+    total = np.zeros(COUNTERS, np.int64)
+    for r in got:
+        total[r.counter] = r.n
+    held = spark.sparkContext.broadcast(total)
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        often = held.value
+        for batch in batches:
+            keys, sizes = [], []
+            for x in batch["set"]:
+                h = np.frombuffer(x, np.uint64)
+                order = np.argsort(often[(h % np.uint64(COUNTERS)).astype(np.int64)], kind="stable")  # ties by hash, as the set is sorted
+                mine = h[order[: prefix_size(len(h), percent)]]
+                keys.append(mine.view(np.int64))
+                sizes.append(len(mine))
+            if keys:
+                yield pd.DataFrame({"key": np.concatenate(keys), "node": np.repeat(batch["node"].to_numpy(), sizes), "root": np.repeat(batch["root"].to_numpy(), sizes)})
+
+    return _mixed_groups(stash(members.select("node", "root", "set").mapInPandas(first, "key long, node long, root long")))
 
 
 def _in_blocks(groups: DataFrame, schema: str, one: Callable[..., dict[str, np.ndarray]], out: str) -> DataFrame:
-    """``one`` over each pair of blocks of each group (column major), both of at most about BLOCK nodes.
+    """``one`` over each pair of blocks of each group (column major); blocks hold about BLOCK nodes and BLOCK_BYTES (column bytes) at most.
 
     Rows are dealt by (group, block pair) and sorted, and a task reads its
     groups as a stream; it holds two blocks at a time, however large a group is.
+    ``one`` gets the number of nodes of the first block, with which those of the
+    second are compared; a block with itself has all of them in the first.
     """
     names = [x.split()[0] for x in schema.split(", ")]
-    blocks = groups.groupBy("major").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
-    blocks = stash(blocks)  # groups of more than BLOCK nodes: few, and without their rows dealt to one task
-    if blocks.count() <= BROADCAST_ROWS:
-        blocks = F.broadcast(blocks)
+    need = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int")
+    # groups of more than one block: few, and without their rows dealt to one task
+    blocks = _hinted(groups.groupBy("major").agg(need.alias("blocks")).where("blocks > 1"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     dealt = groups.join(blocks, "major", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("major", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), *names)
+    dealt = dealt.select("major", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", *names)
     n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(n, "major", "p", "q").sortWithinPartitions("major", "p", "q", "node")
+    dealt = dealt.repartition(n, "major", "p", "q").sortWithinPartitions("major", "p", "q", "own", "node")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for (major, _, _), cols in _groups(batches, ["major", "p", "q"], names):
-            if len(cols["node"]) > 1:
-                found = one(major, cols)
+        for (major, p, _), cols in _groups(batches, ["major", "p", "q"], ["own", *names]):
+            first = int((cols["own"] == p).sum())
+            if len(cols["node"]) > 1 and first:
+                found = one(major, cols, first)
                 if len(next(iter(found.values()))):
                     yield pd.DataFrame(found)
 
@@ -332,10 +396,10 @@ def _groups(batches: Iterator[pd.DataFrame], keys: list[str], names: list[str])
 
 
 def _likely_nodes(percent: int) -> Callable[..., dict[str, np.ndarray]]:
-    """Nodes of a block pair that have a likely partner of another component: sizes and registers, as in may_link."""
+    """Nodes of a group that have a likely partner of another component: sizes and registers, as in may_link."""
     t = percent / 100
 
-    def one(major: int, cols: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    def one(major: int, cols: dict[str, np.ndarray], _: int) -> dict[str, np.ndarray]:
         sketch = np.frombuffer(b"".join(cols["sketch"]), np.uint16).reshape(len(cols["node"]), BUCKETS)
         n, root = cols["n"].astype(np.int64), cols["root"]
         keep = np.zeros(len(n), bool)
@@ -355,16 +419,15 @@ def _likely_nodes(percent: int) -> Callable[..., dict[str, np.ndarray]]:
 
 
 def _block_links(percent: int) -> Callable[..., dict[str, np.ndarray]]:
-    """Links that connect the components of a block pair: shared shingles are counted through the block's inverted index."""
+    """Links that connect the components of a block pair: shared shingles are counted through an inverted index of the first block."""
 
-    def one(_: int, cols: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    def one(_: int, cols: dict[str, np.ndarray], first: int) -> dict[str, np.ndarray]:
         sets = [np.frombuffer(x, np.uint64) for x in cols["set"]]
         sizes = np.array([len(x) for x in sets], np.int64)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        values, term = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(first), sizes[:first])
+        values, term = np.unique(np.concatenate(sets[:first]), return_inverse=True)
         order = np.argsort(term, kind="stable")
         postings, begin = owner[order], np.searchsorted(term[order], np.arange(len(values) + 1))
-        at = np.concatenate([[0], np.cumsum(sizes)])
         parent = {r: r for r in cols["root"].tolist()}
 
         def find(x: int) -> int:
@@ -374,10 +437,15 @@ def _block_links(percent: int) -> Callable[..., dict[str, np.ndarray]]:
             return x
 
         out: list[tuple[int, int]] = []
-        for i in range(1, len(sets)):
-            mine = term[at[i] : at[i + 1]]
-            both = np.bincount(np.concatenate([postings[begin[x] : begin[x + 1]] for x in mine]), minlength=len(sets))[:i]
-            for j in np.flatnonzero(100 * both >= percent * (sizes[i] + sizes[:i] - both)).tolist():
+        itself = first == len(sets)
+        for i in range(1 if itself else first, len(sets)):
+            upto = i if itself else first
+            at = np.minimum(np.searchsorted(values, sets[i]), len(values) - 1)
+            at = at[values[at] == sets[i]]
+            if not len(at):
+                continue
+            both = np.bincount(np.concatenate([postings[begin[x] : begin[x + 1]] for x in at.tolist()]), minlength=first)[:upto]
+            for j in np.flatnonzero(100 * both >= percent * (sizes[i] + sizes[:upto] - both)).tolist():
                 a, b = find(int(cols["root"][i])), find(int(cols["root"][j]))
                 if a != b:
                     parent[max(a, b)] = min(a, b)
