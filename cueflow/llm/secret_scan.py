@@ -8,8 +8,8 @@ patterns leave of each run. Spans of the fixed patterns always stay.
 
 Null text is empty text (no spans). Very long texts are scanned whole. Repeated
 rows each get their own result; an empty table gives an empty result; if the
-table holds no ordinary words at all, the model is trained on its seeded
-samples alone. Extra columns stay, also such with the result's names.
+table holds no ordinary words at all, the model is trained on its own words and
+seeded samples alone. Extra columns stay, also such with the result's names.
 """
 
 from __future__ import annotations
@@ -39,12 +39,27 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 _KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Characters of a stretch that the models judge, at least.
 LEAST_RUN = 16
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _LETTER = re.compile(r"[A-Za-z]")
 
 #: Training: at most so many documents give ordinary words, and so many strings of each label are used.
 SAMPLE_DOCS, SAMPLE_STRINGS = 400, 6000
 
+#: Ordinary words of paths, code and configuration, which documents of prose lack.
+COMMON = tuple(
+    "user name value index count table column result version number request response server client error message file path source target main test java python org com net "
+    "example package packages module modules node react core utils common config default local global static public private service manager handler controller factory "
+    "account session payment order customer product invoice report project team system network connection pool size length width height maximum minimum limit exceeded "
+    "internal external status code type class object method function string integer float boolean array list map queue stack tree graph image photo video audio document "
+    "content format office open application event listener element parent child root branch commit merge pull push release build deploy docker cluster cloud region zone "
+    "spark catalyst expression expressions numpy site library include share lib usr bin etc var log tmp home github workflows continuous integration locale messages utf "
+    "this that with from they have will your what when make like time very long case line word many write would other about then them these some into more look way could "
+    "call first water been find down day come made part over new sound take only little work know place year live back give most after thing good think great where help "
+    "through much before right mean old any same tell follow came want show also around form three small set put end does another well large must big even such here why ask went "
+    "camel snake identifier variable element elements benutzer konto verwaltung dienst "
+    "january monday english german french transfer encoding authorization forwarded protocol animation frame callback window screen".split()
+)
+
 Span = tuple[int, int, str]
 
 
@@ -102,27 +117,37 @@ def train(labelled: list[tuple[str, int]]) -> MarkovRatio:
 
 
 def random_strings(n: int, seed: int = 11) -> list[str]:
-    """Seeded strings as key generators make them."""
+    """Seeded strings as key generators make them; some in parts between dots."""
     rnd = random.Random(seed)
     digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
-    kinds = (digits + "abcdef", digits + lower, digits + lower + lower.upper(), digits + lower + lower.upper() + "+/", digits + lower + lower.upper() + "-_")
-    return ["".join(rnd.choices(kinds[i % len(kinds)], k=rnd.randint(16, 64))) for i in range(n)]
+    upper = lower.upper()
+    kinds = (digits + "abcdef", digits + lower, digits + lower + upper, digits + lower + upper + "+/", digits + lower + upper + "-_", digits + "ABCDEF", lower + upper)
+    out = []
+    for i in range(n):
+        letters = kinds[i % len(kinds)]
+        if i % 16 == 15:
+            out.append(".".join("".join(rnd.choices(digits + lower + upper + "-_", k=rnd.randint(8, 30))) for _ in range(3)))
+        else:
+            out.append("".join(rnd.choices(letters, k=rnd.randint(16, 64))))
+    return out
 
 
 def identifiers(words: list[str], n: int, seed: int = 12) -> list[str]:
-    """Ordinary identifiers: words joined in the usual ways, some with a number."""
+    """Ordinary identifiers: words joined in the usual ways, some with a number. A third of the words are COMMON ones."""
     rnd = random.Random(seed)
-    words = words or ["value", "index", "count", "name", "table", "column", "result", "version", "number", "request"]
+    words = words or [*COMMON]
     out = []
     for i in range(n):
-        w = rnd.choices(words, k=rnd.randint(2, 4))
+        w = [rnd.choice(COMMON) if rnd.random() < 1 / 3 else rnd.choice(words) for _ in range(rnd.randint(2, 4))]
         if i % 12 == 11:  # times and versions are ordinary, too
             y, m, d = rnd.randint(1990, 2039), rnd.randint(1, 12), rnd.randint(1, 28)
             sep = rnd.choice(("-", "/", "_"))
-            out.append(rnd.choice((f"{y}{sep}{m:02d}{sep}{d:02d}T{rnd.randint(0, 23):02d}{sep}{rnd.randint(0, 59):02d}{sep}00Z", f"{w[0]}-{y}{sep}{m:02d}{sep}{d:02d}", f"{w[0]}-v{m}_{d}_{rnd.randint(0, 99)}")))
+            stamp = f"{y}{sep}{m:02d}{sep}{d:02d}"
+            out.append(rnd.choice((f"{stamp}T{rnd.randint(0, 23):02d}{sep}{rnd.randint(0, 59):02d}{sep}00Z", f"{w[0]}-{stamp}", f"{w[0]}-v{m}_{d}_{rnd.randint(0, 99)}", f"{w[0]}-{m}.{d}.{rnd.randint(0, 99)}")))
             continue
-        joined = ("_".join(w), "-".join(w), "/".join(w), w[0] + "".join(x.capitalize() for x in w[1:]), "".join(w))[i % 5]
-        out.append(joined + (str(rnd.randint(0, 2100)) if rnd.random() < 0.5 else ""))
+        camel = w[0] + "".join(x.capitalize() for x in w[1:])
+        joined = ("_".join(w), "-".join(w), "/".join(w), camel, "".join(w), ".".join(w), "_".join(w).upper(), "/".join(w[:-1]) + "." + w[-1])[i % 8]
+        out.append(joined + (str(rnd.randint(0, 2100)) if rnd.random() < 0.4 else ""))
     return out
 
 
