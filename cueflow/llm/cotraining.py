@@ -1,19 +1,21 @@
 """Quality classifier by co-training of two views.
 
-The text view sees hashed byte trigrams of the whole text and how its words repeat; the metadata view
-sees language, source, sizes, layout and compressibility. Each is a logistic
-regression. Starting from labelled documents, both score a pool of unlabelled
+The text view sees hashed byte trigrams of the whole text and how its words
+repeat; the metadata view sees language, source, and the numbers of characters
+and lines, and nothing of the words. Each is a logistic regression. Starting from labelled documents, both score a pool of unlabelled
 ones in every round, and each hands its most confident pseudo-labels to the
 *other* view's training set. At the end both are calibrated on held-out labelled
-documents (Platt scaling), their calibrated log-odds are averaged, and the
-threshold is set on the held-out documents so that good ones stay.
+documents (Platt scaling), their calibrated log-odds are added, with the prior
+odds, which both hold, counted once, and the threshold is set on the held-out
+documents so that good ones stay: halfway between even odds and their least score.
 
 Fitting uses bounded samples (LABELLED, POOL: the ids that hash lowest);
 scoring covers every document and shuffles nothing.
 
 Null text is empty text, null metadata empty strings. Without labelled rows of
 both kinds every score is 0.5 and every document is kept. Repeated rows score
-alike; an empty table gives an empty result. Extra columns stay.
+alike; an empty table gives an empty result. Extra columns stay, also such with
+the result's names. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ ROUNDS, CONFIDENT = 4, 0.95
 #: Pseudo-labels of each class that a view hands over in a round at most.
 HANDED = 150
 DIMS, HASHED = 1024, 16
-#: Measures of repetition in the text view.
-REPEATS = 4
+#: Measures of repetition in the text view, and of size in the metadata view.
+REPEATS, SIZES = 4, 5
 #: Share of held-out good documents that the threshold keeps, at least.
 KEEP_GOOD = 0.995
 
@@ -57,30 +59,15 @@ def text_view(text: str) -> np.ndarray:
     return out
 
 
-def metadata_view(text: str, lang: str, source: str) -> np.ndarray:
-    """Language and source (hashed), sizes, layout, compressibility."""
-    raw = text.encode("utf-8", "surrogatepass")
-    n = max(1, len(raw))
-    b = np.frombuffer(raw, np.uint8)
-    kinds = np.bincount(_KIND[b], minlength=6) / n if len(b) else np.zeros(6)
-    lines = raw.count(b"\n") + 1
-    out = np.zeros(2 * HASHED + 12, np.float32)
+def metadata_view(lang: str, source: str, chars: int, lines: int) -> np.ndarray:
+    """Language and source (hashed), number and length of lines."""
+    out = np.zeros(2 * HASHED + SIZES, np.float32)
     out[zlib.crc32(lang.encode()) % HASHED] = 1
     out[HASHED + zlib.crc32(source.encode()) % HASHED] = 1
-    out[2 * HASHED :] = [
-        np.log1p(len(raw)) / 10, np.log1p(lines) / 5, np.log1p(n / lines) / 8, len(zlib.compress(raw, 1)) / n, *kinds, (raw.count(b" ") + 1) / n, 1.0 if len(raw) < 200 else 0.0,
-    ]
+    out[2 * HASHED :] = [np.log1p(chars) / 10, np.log1p(lines) / 5, np.log1p(chars / lines) / 8, float(chars < 200), float(chars < 1000)]
     return out
 
 
-_KIND = np.zeros(256, np.uint8)
-_KIND[ord("A") : ord("Z") + 1] = 1
-_KIND[ord("0") : ord("9") + 1] = 2
-_KIND[[*b".,;:'"]] = 3
-_KIND[[*b"!?\"()[]{}"]] = 4
-_KIND[[*b"#*$%&|<>=+~^_@\\/`"]] = 5
-
-
 @dataclass(frozen=True)
 class Linear:
     weights: np.ndarray
@@ -130,13 +117,14 @@ class CoTrained:
     meta: Linear
     text_scale: tuple[float, float]
     meta_scale: tuple[float, float]
+    prior: float
     threshold: float
 
     def scores(self, t: np.ndarray, m: np.ndarray) -> np.ndarray:
         """Columns: calibrated text, metadata and combined probability of good quality."""
         a = self.text_scale[0] * self.text.odds(t) + self.text_scale[1]
         b = self.meta_scale[0] * self.meta.odds(m) + self.meta_scale[1]
-        return 1 / (1 + np.exp(-np.clip(np.stack([a, b, (a + b) / 2], axis=1), -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(np.stack([a, b, a + b - self.prior], axis=1), -30, 30)))
 
 
 def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int = ROUNDS) -> CoTrained | None:
@@ -167,30 +155,40 @@ def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int =
         if not added:
             break
     scale = [platt(models[v].odds(views[v][held]), y[held]) for v in (0, 1)]
-    model = CoTrained(models[0], models[1], scale[0], scale[1], 0.5)
+    up = float(y[held].sum())
+    prior = float(np.log((up + 1) / (len(held) - up + 1)))  # both views' log-odds hold it; it counts once
+    model = CoTrained(models[0], models[1], scale[0], scale[1], prior, 0.5)
     good = model.scores(text[held], meta[held])[:, 2][y[held] > 0.5]
     cut = float(np.quantile(good, 1 - KEEP_GOOD)) if len(good) else 0.5
-    return CoTrained(models[0], models[1], scale[0], scale[1], min(0.5, cut))
+    if cut > 0.5:  # halfway, in log-odds, from even odds to the held-out good documents
+        cut = 1 / (1 + (1 / cut - 1) ** 0.5)
+    return CoTrained(models[0], models[1], scale[0], scale[1], prior, cut)
 
 
-def _meta_column(df: DataFrame, name: str):
-    return text_of(name) if name in df.columns else F.lit("")
+def _metadata(df: DataFrame) -> list:
+    """Language, source, characters (n_chars where it is known, else counted) and lines; counted before Python."""
+    named = [text_of(c) if c in df.columns else F.lit("") for c in ("lang", "source")]
+    length = F.length(text_of()).cast("long")
+    chars = F.greatest(F.lit(0), F.coalesce(F.col("n_chars").cast("long"), length)) if "n_chars" in df.columns else length
+    return [*named, chars, (F.length(text_of()) - F.length(F.replace(text_of(), F.lit("\n"), F.lit(""))) + 1).cast("long")]
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> CoTrained | None:
     """Fit on bounded samples: labelled documents, and a pool of others, each those whose ids hash lowest."""
     lowest = lambda df, seed: df.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("label"))
-    chosen = lowest(known, 1).limit(labelled)
-    others = lowest(docs.select("doc_id").where("doc_id is not null").distinct(), 2).limit(pool).withColumn("label", F.lit(-1))
+    chosen = lowest(known.join(ids, "doc_id", "left_semi"), 1).limit(labelled)  # of the documents that are there
+    others = lowest(ids, 2).limit(pool).withColumn("label", F.lit(-1))
     chosen = chosen.unionByName(others).groupBy("doc_id").agg(F.max("label").alias("label"))
 
     @F.pandas_udf("text binary, meta binary")
-    def views(texts: pd.Series, langs: pd.Series, sources: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([(text_view(t).astype(np.float16).tobytes(), metadata_view(t, a, s).tobytes()) for t, a, s in zip(texts, langs, sources, strict=True)], columns=["text", "meta"])
+    def views(texts: pd.Series, langs: pd.Series, sources: pd.Series, chars: pd.Series, lines: pd.Series) -> pd.DataFrame:
+        rows = zip(texts, langs, sources, chars, lines, strict=True)
+        return pd.DataFrame([(text_view(t).astype(np.float16).tobytes(), metadata_view(*m).tobytes()) for t, *m in rows], columns=["text", "meta"])
 
     met = docs.join(F.broadcast(chosen), "doc_id")  # at most labelled + pool rows are sent
-    seen = met.select("doc_id", "label", views(text_of(), _meta_column(docs, "lang"), _meta_column(docs, "source")).alias("v"))
+    seen = met.select("doc_id", "label", views(text_of(), *_metadata(docs)).alias("v"))
     rows = seen.groupBy("doc_id").agg(F.first("label").alias("label"), F.min("v").alias("v")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     if not rows:
         return None
@@ -204,20 +202,20 @@ def scored(docs: DataFrame, model: CoTrained | None) -> tuple[DataFrame, str]:
     name = fresh(docs, "quality")
 
     @F.pandas_udf("text_score double, meta_score double, score double, kept boolean")
-    def score(texts: pd.Series, langs: pd.Series, sources: pd.Series) -> pd.DataFrame:
+    def score(texts: pd.Series, langs: pd.Series, sources: pd.Series, chars: pd.Series, lines: pd.Series) -> pd.DataFrame:
         n = len(texts)
         if model is None or not n:
             return pd.DataFrame({"text_score": [0.5] * n, "meta_score": [0.5] * n, "score": [0.5] * n, "kept": [True] * n})
         t = np.stack([text_view(x) for x in texts])
-        m = np.stack([metadata_view(*x) for x in zip(texts, langs, sources, strict=True)])
+        m = np.stack([metadata_view(*x) for x in zip(langs, sources, chars, lines, strict=True)])
         p = model.scores(t, m)
         return pd.DataFrame({"text_score": p[:, 0], "meta_score": p[:, 1], "score": p[:, 2], "kept": p[:, 2] >= model.threshold})
 
-    return docs.withColumn(name, score(text_of(), _meta_column(docs, "lang"), _meta_column(docs, "source"))), name
+    return docs.withColumn(name, score(text_of(), *_metadata(docs))), name
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
     out, name = scored(docs, fit_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return out.select("doc_id", f"`{name}`.*")
