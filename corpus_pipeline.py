@@ -68,10 +68,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder before the next."""
+    """All stages over documents, each written to the shared folder before the next; what a stage has written on its way goes then."""
     docs = common.documents(spark, sf_dir)
+    before = common.stashed()
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = common.stash(docs)
+            common.unstash(spark, [p for p in common.stashed()[:-1] if p not in before])
     return docs
