@@ -10,7 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-BLANKS = r"[ \t\n\r\f]+"
+#: White space of any kind, for a character class: Unicode's, and the four separators that tokenisers split at, too.
+SPACE = r"\t\n\x0b\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANKS = f"[{SPACE}]+"
 
 
 @dataclass(frozen=True)
@@ -33,35 +35,34 @@ def decomposed(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFD", t), na_action="ignore")
 
 
-def cleaned(column: str, rules: LanguageRules = LanguageRules()) -> Column:
-    """Decompose, drop categories, replace, drop what is neither word nor space, collapse spaces. Case stays.
-
-    Only the decomposition leaves the JVM; it is applied once.
-    """
-    out = decomposed(F.col(column))
+def _clean(text: Column, rules: LanguageRules) -> Column:
+    out = decomposed(text)
     for cat in rules.strip_categories:
         out = F.regexp_replace(out, rf"\p{{{cat}}}", "")
     for old, new in (*rules.char_replacements, *rules.pronunciations):
         out = F.replace(out, F.lit(old), F.lit(new))
-    out = F.regexp_replace(out, r"[^\p{L}\p{N}_\s]", "")
+    out = F.regexp_replace(out, rf"[^\p{{L}}\p{{N}}_{SPACE}]", "")
     return F.trim(F.regexp_replace(out, BLANKS, " "))
 
 
+def cleaned(column: str, rules: LanguageRules = LanguageRules()) -> Column:
+    """Decompose, drop categories, replace, drop what is neither word nor space, collapse spaces. Case stays.
+
+    Only the decomposition leaves the JVM; it is applied once.
+    """
+    return _clean(F.col(column), rules)
+
+
 def match_form(column: str, rules: LanguageRules = LanguageRules()) -> Column:
     """Lower case, then cleaned."""
-    out = decomposed(F.lower(F.col(column)))
-    for cat in rules.strip_categories:
-        out = F.regexp_replace(out, rf"\p{{{cat}}}", "")
-    for old, new in (*rules.char_replacements, *rules.pronunciations):
-        out = F.replace(out, F.lit(old), F.lit(new))
-    return F.trim(F.regexp_replace(F.regexp_replace(out, r"[^\p{L}\p{N}_\s]", ""), BLANKS, " "))
+    return _clean(F.lower(F.col(column)), rules)
 
 
 def without_markers(column: Column, rules: LanguageRules) -> Column:
     """Ordered pattern rules, then trimmed."""
     for pattern, new in rules.marker_rules:
         column = F.regexp_replace(column, pattern, new)
-    return F.trim(column)
+    return F.regexp_replace(column, f"^{BLANKS}|{BLANKS}$", "")
 
 
 def tokens(column: str) -> Column:
@@ -121,3 +122,9 @@ def story_segments(column: str, marker: str = r"!\[[^\]]*\]\([^)]*\)", citation:
 def effective_threshold(book: str, chapter: str, rules: LanguageRules, in_passage: float = 0.01) -> Column:
     """Score below which a forced-alignment word may give way: lower in the configured passages."""
     return F.when(in_passages(book, chapter, list(rules.passages)), in_passage).otherwise(rules.fallback_threshold)
+
+
+def in_alphabet(column: str, alphabet: str) -> Column:
+    """The text with nothing but characters of the alphabet; a star where none is left."""
+    kept = F.regexp_replace(F.lower(F.col(column)), "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in alphabet) + "]", "")
+    return F.when(kept == "", "*").otherwise(kept)

@@ -105,7 +105,9 @@ def audio_url(base: str, code: str, title: str, chapter: str) -> Column:
 
 
 def work_items(work: DataFrame, out_root: str) -> DataFrame:
-    """Work with its output paths and whether contributed timing is to be kept."""
+    """Work with its output paths; where the source type is known, whether contributed timing is to be kept."""
+    if "source_type" in work.columns:
+        work = work.withColumn("preserve_existing_timing", F.coalesce(F.col("source_type") == "contrib", F.lit(False)))
     stem = F.concat_ws("/", F.lit(out_root), "canon", "iso", "distinct_id", "book", F.concat_ws("_", "book", padded("chapter"), "audio_fileset"))
     return work.select("*", *(F.concat(stem, F.lit(f"_{k}.json")).alias(f"{k}_path") for k in ("timing", "words", "words_quality")))
 
@@ -117,7 +119,7 @@ def restricted(work: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def contributed_pairs(files: DataFrame) -> DataFrame:
-    """Audio and text of contributed chapters met by number; of several texts the first pattern counts."""
-    audio = files.where("kind = 'audio'").select("book", "chapter", F.col("path").alias("audio_path"))
-    text = files.where("kind = 'text'").groupBy("book", "chapter").agg(F.min_by("path", F.struct("pattern", "path")).alias("text_path"))
-    return audio.join(text, ["book", "chapter"])
+    """Audio and text of the same contributed chapter; of several texts the first pattern counts."""
+    audio = files.where("kind = 'audio'").select(*CHAPTER, F.col("path").alias("audio_path"))
+    text = files.where("kind = 'text'").groupBy(*CHAPTER).agg(F.min_by("path", F.struct("pattern", "path")).alias("text_path"))
+    return audio.join(text, CHAPTER)

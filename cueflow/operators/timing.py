@@ -24,10 +24,16 @@ def delta_stats(df: DataFrame, keys: Keys, good: int, drift: int) -> DataFrame:
     return out.withColumn("class", kind)
 
 
-def mean_of_means(df: DataFrame, keys: Keys, total: str = "sum_delta", count: str = "n") -> list[Column]:
-    """Unweighted mean of chapter means, as an exact decimal of six places."""
-    each = (F.col(total).cast("decimal(20,6)") / F.col(count).cast("decimal(10,0)")).cast("decimal(20,6)")
-    return [F.sum(each).cast("decimal(30,6)").alias("sum_means"), F.count("*").alias("n_chapters")]
+def halved_up(total: str, count: str) -> Column:
+    """Whole quotient, rounded half up, of numbers that are not negative; exact in every engine."""
+    return F.expr(f"(2 * {total} + {count}) div (2 * {count})")
+
+
+def mean_of_means(df: DataFrame, keys: Keys, total: str = "sum_delta", count: str = "n") -> DataFrame:
+    """Unweighted mean of chapter means in millionths, each of which weighs one; with the sum of the means and their number."""
+    each = df.withColumn("__mean", halved_up(f"({total} * 1000000)", count))
+    g = each.groupBy(*keys).agg(F.sum("__mean").alias("sum_means"), F.count("*").alias("n_chapters"))
+    return g.withColumn("mean_micro", halved_up("sum_means", "n_chapters"))
 
 
 def defects(df: DataFrame, keys: Keys, order: list, stamp: str, gap=120, tiny=0.1) -> DataFrame:
@@ -110,3 +116,22 @@ def as_of(left: DataFrame, right: DataFrame, keys: Keys, time: str, value: str)
     )
     w = Window.partitionBy(*keys).orderBy(time, "__side", F.col("__v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return both.withColumn(value, F.last("__v", ignorenulls=True).over(w)).where("__side = 1").select(*keys, "id", time, value)
+
+
+def compared_verses(pairs: DataFrame, keys: Keys, good: int, drift: int, flag: int) -> DataFrame:
+    """Each verse with both stamps, its absolute delta, whether that is above ``flag``, and the class of its chapter."""
+    kinds = delta_stats(pairs, keys, good, drift).select(*keys, "class")
+    delta = F.abs(F.col("downloaded") - F.col("pipeline"))
+    return pairs.withColumn("delta", delta).withColumn("flagged", F.col("delta") > flag).join(kinds, keys)
+
+
+def first_of(df: DataFrame, keys: Keys, value: str, n: int, name: str) -> DataFrame:
+    """The n least distinct values of each group as a sorted array; no group is gathered whole."""
+    ranked = df.select(*keys, value).distinct().withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(value)))
+    return ranked.where(F.col("__rn") <= n).groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
+
+
+def places(df: DataFrame, score: Column, low: str, keys: list[str]) -> DataFrame:
+    """Places of the rows of an overview by score, by low words and by key; one row for each group, so the table is small."""
+    n = lambda *order: F.row_number().over(Window.orderBy(*order))
+    return df.select(*keys, n(score, *keys).alias("by_score"), n(F.desc(low), *keys).alias("by_low"), n(*keys).alias("by_key"))

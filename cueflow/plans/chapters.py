@@ -32,16 +32,57 @@ def aligned_words(spark, sf_dir):
     return c.aligned(*_inputs(spark, sf_dir)).drop("anchor")
 
 
-@register("aligned_ctc_words", f"with {v.WORDS} select chapter, verse, pos, word, widx / 2.0 as start, 'ctc' as source from v_words where chapter % 4 = 1")
+def _whole(spark, sf_dir):
+    """Every chapter with both timelines, complete: recognition is a tenth of a second late and sure of itself."""
+    ship(spark)
+    ref = v.words(spark, sf_dir)
+    start = F.col("widx") / 2
+    ctc = ref.select("chapter", "widx", F.col("word").alias("text"), start.alias("start"), (start + 0.4).alias("end"), ((F.col("widx") * 37 % 100) / 100).alias("score"))
+    asr = ctc.select("chapter", "widx", "text", (F.col("start") + 0.1).alias("start"), (F.col("end") + 0.1).alias("end"), F.lit(0.9).alias("score"))
+    return ref, ctc, asr
+
+
+def _tenths(c: str):
+    return F.round(F.col(c) * 10).cast("bigint").alias(c)
+
+
+#: Fusion of the whole timelines: weak words of forced alignment give way, all others stay.
+FUSED = v.WORDS + ", f as (select *, widx * 37 % 100 as pct, widx * 37 % 100 < 30 as weak from v_words)"
+
+
+@register("aligned_fused", f"with {FUSED} select chapter, verse, pos, word, widx * 5 + cast(weak as int) as start, widx * 5 + 4 + cast(weak as int) as \"end\", case when weak then 90 else pct end as score, case when weak then 'asr' else 'ctc' end as source from f")
+def aligned_fused(spark, sf_dir):
+    """Chapters with both timelines: tenths of seconds, hundredths of scores."""
+    w = c.aligned(*_whole(spark, sf_dir))
+    return w.select("chapter", "verse", "pos", "word", _tenths("start"), _tenths("end"), F.round(F.col("score") * 100).cast("bigint").alias("score"), "source")
+
+
+@register("aligned_fused_quality", f"with {FUSED} select chapter, count(*) as total_words, count(*) filter (where weak) as from_asr, count(*) filter (where not weak) as from_ctc, 0 as null_count, count(*) filter (where not weak and pct < 30) as low_quality_count, '' as low_verses from f group by chapter")
+def aligned_fused_quality(spark, sf_dir):
+    """Quality of the fused chapters: no weak word is left."""
+    q = c.chapter_quality(c.aligned(*_whole(spark, sf_dir)))
+    return q.withColumn("low_verses", F.array_join("low_verses", ","))
+
+
+@register("aligned_ctc_words", f"with {v.WORDS} select chapter, verse, pos, word, widx / 2.0 as start, 'ctc' as source from v_words")
 def aligned_ctc_words(spark, sf_dir):
-    """The chapters with forced alignment only: words by position."""
-    return c.aligned(*_inputs(spark, sf_dir)).where("chapter % 4 = 1").select("chapter", "verse", "pos", "word", "start", "source")
+    """Chapters with forced alignment only: words by position."""
+    ref, ctc, asr = _whole(spark, sf_dir)
+    return c.aligned(ref, ctc, asr.where("false")).select("chapter", "verse", "pos", "word", "start", "source")
+
+
+@register("aligned_ctc_quality", f"with {v.WORDS} select chapter, count(*) as total_words, 0 as from_asr, count(*) as from_ctc, 0 as null_count, count(*) filter (where widx * 37 % 100 < 30) as low_quality_count, array_to_string(list_sort(list_distinct(coalesce(list(verse) filter (where widx * 37 % 100 < 30), []))), ',') as low_verses from v_words group by chapter")
+def aligned_ctc_quality(spark, sf_dir):
+    """Quality of chapters with forced alignment only, with the verses that hold weak words."""
+    ref, ctc, asr = _whole(spark, sf_dir)
+    return c.chapter_quality(c.aligned(ref, ctc, asr.where("false"))).withColumn("low_verses", F.array_join("low_verses", ","))
 
 
-@register("aligned_verses", f"with {v.WORDS}, f as (select v.chapter, v.verse, min(w.widx) / 2.0 as first from v_verses v join v_words w on v.chapter = w.chapter and v.verse = w.verse where v.chapter % 4 = 1 group by all) select chapter, verse, first as ts from f union all select distinct chapter, 0, 0.0 from f")
+@register("aligned_verses", f"with {v.WORDS}, f as (select v.chapter, v.verse, min(w.widx) / 2.0 as first from v_verses v join v_words w on v.chapter = w.chapter and v.verse = w.verse group by all) select chapter, verse, first as ts from f union all select distinct chapter, 0, 0.0 from f")
 def aligned_verses(spark, sf_dir):
-    """Verse starts of the chapters with forced alignment only."""
-    return c.verse_starts(c.aligned(*_inputs(spark, sf_dir)).where("chapter % 4 = 1"))
+    """Verse starts of chapters with forced alignment only."""
+    ref, ctc, asr = _whole(spark, sf_dir)
+    return c.verse_starts(c.aligned(ref, ctc, asr.where("false")))
 
 
 @register("aligned_verses_all")

@@ -132,6 +132,6 @@ def batch_restriction(spark, sf_dir):
     return d.restricted(w, jobs)
 
 
-@register("contributed_pairs", f"with {FILES_SQL}, t as (select book, chapter, arg_min(path, (fileset, path)) as text_path from files where kind = 'text' group by all) select a.book, a.chapter, a.path as audio_path, text_path from files a join t on a.book = t.book and a.chapter = t.chapter where a.kind = 'audio'")
+@register("contributed_pairs", f"with {FILES_SQL}, t as (select {KEY}, arg_min(path, (fileset, path)) as text_path from files where kind = 'text' group by all) select a.canon, a.iso, a.distinct_id, a.book, a.chapter, a.path as audio_path, text_path from files a join t on a.canon = t.canon and a.iso = t.iso and a.distinct_id = t.distinct_id and a.book = t.book and a.chapter = t.chapter where a.kind = 'audio'")
 def contributed_pairs(spark, sf_dir):
     return d.contributed_pairs(inventory(spark, sf_dir).withColumn("pattern", F.col("fileset")))

@@ -68,10 +68,10 @@ def quality_with_timing(spark, sf_dir):
     return q.join(t, "k", "left").join(d, "o_custkey", "left").select("k", "words", F.col("o_custkey").isNotNull().alias("has_timing"), "c_nationkey")
 
 
-@register("job_fanout", "with w as (select o_orderkey as item, o_custkey as key, case when o_orderkey % 5 = 0 then null else o_orderkey % 3 end as did from orders where o_orderkey % 2 = 0), j as (select distinct c_custkey as key, c_custkey % 3 as did from customer union select c_custkey, (c_custkey + 1) % 3 from customer where c_nationkey < 5) select item, w.key, j.did from w join j on w.key = j.key and (w.did is null or w.did = j.did)")
+@register("job_fanout", "with w as (select o_orderkey as item, o_custkey as key, case when o_orderkey % 5 = 0 then null else o_orderkey % 3 end as did from orders), j as (select distinct c_custkey as key, c_custkey % 3 as did from customer union select c_custkey, (c_custkey + 1) % 3 from customer where c_nationkey < 5) select item, w.key, j.did from w join j on w.key = j.key and (w.did is null or w.did = j.did)")
 def job_fanout(spark, sf_dir):
     """Work items meet the jobs of their key; items without an id fan out to all of them."""
-    w = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("item"), F.col("o_custkey").alias("key"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") % 3).alias("wanted"))
+    w = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item"), F.col("o_custkey").alias("key"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") % 3).alias("wanted"))
     c = table(spark, sf_dir, "customer")
     j = c.select(F.col("c_custkey").alias("key"), (F.col("c_custkey") % 3).alias("did")).union(c.where("c_nationkey < 5").select("c_custkey", (F.col("c_custkey") + 1) % 3)).distinct()
     return w.join(j, "key").where("wanted is null or wanted = did").select("item", "key", "did")

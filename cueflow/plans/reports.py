@@ -117,10 +117,10 @@ def words_export(spark, sf_dir):
     return sinks.words_json(t, ["chapter"])
 
 
-@register("verse_timing_export", f"with {v.JITTER} select chapter, 'B' as book, concat('[', string_agg(concat('{{\"book\":\"B\",\"chapter\":\"', lpad(cast(chapter as varchar), 3, '0'), '\",\"verse_start\":\"', verse, '\",\"verse_start_alt\":\"', verse, '\",\"timestamp\":', stamp, '}}'), ',' order by verse), ']') as json from v_jitter where chapter < 1000 group by chapter")
+@register("verse_timing_export", f"with {v.JITTER} select chapter, 'B' as book, concat('[', string_agg(concat('{{\"book\":\"B\",\"chapter\":\"', case when chapter < 1000 then lpad(cast(chapter as varchar), 3, '0') else cast(chapter as varchar) end, '\",\"verse_start\":\"', verse, '\",\"verse_start_alt\":\"', verse, '\",\"timestamp\":', stamp, '}}'), ',' order by verse), ']') as json from v_jitter group by chapter")
 def verse_timing_export(spark, sf_dir):
     """Verse stamps of each chapter as a JSON array."""
-    j = v.jitter(spark, sf_dir).where("chapter < 1000").select("chapter", F.lit("B").alias("book"), "verse", F.col("stamp").alias("ts"))
+    j = v.jitter(spark, sf_dir).select("chapter", F.lit("B").alias("book"), "verse", F.col("stamp").alias("ts"))
     return sinks.verse_timing_json(j, ["chapter", "book"])
 
 
@@ -160,7 +160,7 @@ def chunk_words(spark, sf_dir):
     return c.select("chapter", "chunk", F.expr("(n * (chunk + 1)) div k - (n * chunk) div k").alias("words"))
 
 
-@register("match_forms", r"select item_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^\p{L}\p{N}_\s]', '', 'g'), '[ \t\n\r\f]+', ' ', 'g')) as form from benchmark")
+@register("match_forms", r"select item_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^\p{L}\p{N}_\t\n\x0b\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]', '', 'g'), '[\t\n\x0b\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) as form from benchmark")
 def match_forms(spark, sf_dir):
     """Lower case, then cleaned."""
     from cueflow.session import ship

@@ -14,13 +14,13 @@ from cueflow.session import ship
 from cueflow.sources.tables import table
 
 
-@register("text_clean", r"select doc_id, trim(regexp_replace(regexp_replace(strip_accents(text), '[^\p{L}\p{N}_\s]', '', 'g'), '[ \t\n\r\f]+', ' ', 'g')) as clean from documents")
+@register("text_clean", r"select doc_id, trim(regexp_replace(regexp_replace(strip_accents(text), '[^\p{L}\p{N}_\t\n\x0b\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]', '', 'g'), '[\t\n\x0b\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) as clean from documents")
 def text_clean(spark, sf_dir):
     ship(spark)
     return table(spark, sf_dir, "documents").select("doc_id", x.cleaned("text").alias("clean"))
 
 
-@register("text_tokens", r"select doc_id, len(list_filter(string_split_regex(lower(text), '[ \t\n\r\f]+'), lambda x: x <> '')) as n_tokens from documents")
+@register("text_tokens", r"select doc_id, len(list_filter(string_split_regex(lower(text), '[\t\n\x0b\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: x <> '')) as n_tokens from documents")
 def text_tokens(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
     return d.select("doc_id", F.size(x.tokens("text")).cast("bigint").alias("n_tokens"))

@@ -57,23 +57,35 @@ def timing_delta(spark, sf_dir):
     return t.delta_stats(v.pairs(spark, sf_dir).where("verse <> 0"), ["iso", "chapter"], 20, 60)
 
 
-LANG = ", l as (select iso, count(*) as n_chapters, count(*) filter (where class = 'GOOD') as good, count(*) filter (where class = 'DRIFT') as drift, count(*) filter (where class = 'BAD') as bad, max(max_delta) as max_delta, cast(sum((sum_delta * 1000) // n) as bigint) as sum_means from c group by iso)"
+@register("verse_deltas", DELTA + " select p.iso, p.chapter, p.verse, p.downloaded, p.pipeline, d as delta, d > 2 as flagged, class from p join c on p.iso = c.iso and p.chapter = c.chapter")
+def verse_deltas(spark, sf_dir):
+    """Each verse of both timings with its delta, whether it is above two, and the chapter's class."""
+    return t.compared_verses(v.pairs(spark, sf_dir).where("verse <> 0"), ["iso", "chapter"], 20, 60, 2)
 
 
-@register("delta_by_lang", DELTA + LANG + " select * from l")
+@register("timing_matched", f"with {v.PAIRS}, d as (select iso, chapter, verse, max(downloaded) as downloaded from v_pairs group by all), p as (select iso, chapter, verse, max(pipeline) as pipeline from v_pairs where verse <> 3 group by all) select d.iso, d.chapter, d.verse, downloaded, pipeline from d join p on d.iso = p.iso and d.chapter = p.chapter and d.verse = p.verse")
+def timing_matched(spark, sf_dir):
+    """Downloaded and pipeline stamps of the verses that both have; verse 0 counts for nothing."""
+    return t.matched(*v.two_timings(spark, sf_dir), ["iso", "chapter"])
+
+
+LANG = ", l as (select iso, count(*) as n_chapters, count(*) filter (where class = 'GOOD') as good, count(*) filter (where class = 'DRIFT') as drift, count(*) filter (where class = 'BAD') as bad, max(max_delta) as max_delta, cast(sum((2000000 * sum_delta + n) // (2 * n)) as bigint) as sum_means from c group by iso), m as (select *, (2 * sum_means + n_chapters) // (2 * n_chapters) as mean_micro from l)"
+
+
+@register("delta_by_lang", DELTA + LANG + " select * from m")
 def delta_by_lang(spark, sf_dir):
-    """Per language: classes and the sum of chapter means (thousandths), each chapter weighing one."""
+    """Per language: classes, and the mean of chapter means (millionths), each chapter weighing one."""
     c = timing_delta(spark, sf_dir)
     kind = lambda k: F.count_if(F.col("class") == k).alias(k.lower())
-    return c.groupBy("iso").agg(F.count("*").alias("n_chapters"), kind("GOOD"), kind("DRIFT"), kind("BAD"), F.max("max_delta").alias("max_delta"), F.sum(F.expr("(sum_delta * 1000) div n")).alias("sum_means"))
+    return c.groupBy("iso").agg(kind("GOOD"), kind("DRIFT"), kind("BAD"), F.max("max_delta").alias("max_delta")).join(t.mean_of_means(c, ["iso"]), "iso")
 
 
-@register("delta_grand", DELTA + LANG + " select cast(sum(n_chapters) as bigint) as n_chapters, cast(sum(good) as bigint) as good, cast(sum(bad) as bigint) as bad, max(max_delta) as max_delta, cast(sum(sum_means // n_chapters) as bigint) // count(*) as mean_of_means from l")
+@register("delta_grand", DELTA + LANG + " select cast(sum(n_chapters) as bigint) as n_chapters, cast(sum(good) as bigint) as good, cast(sum(bad) as bigint) as bad, max(max_delta) as max_delta, (2 * cast(sum(mean_micro) as bigint) + count(*)) // (2 * count(*)) as mean_of_means from m")
 def delta_grand(spark, sf_dir):
     """Total row: each language weighs one in the mean."""
     lang = delta_by_lang(spark, sf_dir)
-    g = lang.agg(F.sum("n_chapters").alias("n_chapters"), F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("max_delta").alias("max_delta"), F.sum(F.expr("sum_means div n_chapters")).alias("m"), F.count("*").alias("k"))
-    return g.withColumn("mean_of_means", F.expr("m div k")).drop("m", "k")
+    g = lang.agg(F.sum("n_chapters").alias("n_chapters"), F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("max_delta").alias("max_delta"), F.sum("mean_micro").alias("m"), F.count("*").alias("k"))
+    return g.withColumn("mean_of_means", t.halved_up("m", "k")).drop("m", "k")
 
 
 @register("coverage_gaps", "select doc_id, source from documents anti join labels using (doc_id)")
@@ -105,16 +117,27 @@ def weighted_overview(spark, sf_dir):
     from pyspark.sql.window import Window
 
     q = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels"), "doc_id")
-    q = q.groupBy("source").agg(F.count("*").alias("words"), F.sum("quality").alias("score"), F.count_if(F.col("toxic") == 1).alias("low"), F.array_sort(F.collect_set(F.when(F.col("toxic") == 1, F.col("doc_id")))).alias("lows"))
+    lows = t.first_of(q.where("toxic = 1"), ["source"], "doc_id", 9, "lows")
+    q = q.groupBy("source").agg(F.count("*").alias("words"), F.sum("quality").alias("score"), F.count_if(F.col("toxic") == 1).alias("low"))
+    q = q.join(lows, "source", "left").withColumn("lows", F.coalesce("lows", F.array().cast("array<bigint>")))
     place = F.row_number().over(Window.orderBy(F.col("score").cast("double") / F.col("words"), F.desc("low"), "source"))  # one row a source
     return q.select("source", "words", "score", "low", t.flagged_share("low", "words").alias("low_pct"), t.shortened("lows").alias("low_list"), place.alias("place"))
 
 
-@register("overview_totals", "with q as (select source, count(*) as words, cast(sum(quality) as bigint) as score from documents join labels using (doc_id) group by source) select cast(sum(words) as bigint) as words, cast(sum(score) as bigint) as score, count(*) as n_sources from q")
+@register("overview_totals", "with q as (select source, count(*) as words, cast(sum(quality) as bigint) as score from documents join labels using (doc_id) group by source) select cast(sum(words) as bigint) as words, cast(sum(score) as bigint) as score, count(*) as n_sources, (2000000 * cast(sum(score) as bigint) + cast(sum(words) as bigint)) // (2 * cast(sum(words) as bigint)) as mean_micro from q")
 def overview_totals(spark, sf_dir):
-    """Word-weighted total: sums over the rows of the overview."""
+    """Word-weighted total: sums over the rows of the overview, and the weighted mean in millionths."""
     q = weighted_overview(spark, sf_dir)
-    return q.agg(F.sum("words").alias("words"), F.sum("score").alias("score"), F.count("*").alias("n_sources"))
+    g = q.agg(F.sum("words").alias("words"), F.sum("score").alias("score"), F.count("*").alias("n_sources"))
+    return g.withColumn("mean_micro", t.halved_up("(score * 1000000)", "words"))
+
+
+@register("overview_orders", "with q as (select source, lang, count(*) as words, cast(sum(quality) as bigint) as score, count(*) filter (where toxic = 1) as low from documents join labels using (doc_id) group by all) select source, lang, row_number() over (order by (1000000 * score) // words, source, lang) as by_score, row_number() over (order by low desc, source, lang) as by_low, row_number() over (order by source, lang) as by_key from q")
+def overview_orders(spark, sf_dir):
+    """Places of the overview's rows in its three orders; ties by key."""
+    q = table(spark, sf_dir, "documents").select("doc_id", "source", "lang").join(table(spark, sf_dir, "labels"), "doc_id")
+    q = q.groupBy("source", "lang").agg(F.count("*").alias("words"), F.sum("quality").alias("score"), F.count_if(F.col("toxic") == 1).alias("low"))
+    return t.places(q, F.expr("(1000000 * score) div words"), "low", ["source", "lang"])
 
 
 @register("quality_summary", f"with {v.TIMELINE} select chapter, count(*) as total_words, cast(sum(pct) as bigint) as score_sum, count(*) filter (where pct < 30) as low_quality_count, count(*) filter (where pct is null) as null_count, coalesce(array_to_string(list_sort(list_distinct(list(widx // 10 + 1) filter (where pct < 30))), ','), '') as low_verses, case when count(*) filter (where pct > 0) > 0 then cast(sum(pct) filter (where pct > 0) as bigint) // count(*) filter (where pct > 0) else 0 end as mean_positive from v_timeline group by chapter")

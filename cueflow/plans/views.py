@@ -92,6 +92,14 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("iso", F.col("o_orderkey").alias("chapter"), F.col("l_linenumber").alias("verse"), "downloaded", "pipeline")
 
 
+def two_timings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two sides of pairs as timings of their own, one stamp a verse; each has a verse 0, the second lacks verse 3."""
+    p = pairs(spark, sf_dir)
+    zero = p.select("iso", "chapter", F.lit(0).cast(p.schema["verse"].dataType).alias("verse"), F.lit(0).cast("bigint").alias("stamp")).distinct()
+    side = lambda df, c: df.groupBy("iso", "chapter", "verse").agg(F.max(c).alias(c)).unionByName(zero.withColumnRenamed("stamp", c))
+    return side(p, "downloaded"), side(p.where("verse <> 3"), "pipeline")
+
+
 PAIRS = """
 v_pairs as (
   select n_name as iso, o_orderkey as chapter, l_linenumber as verse,
