@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 from typing import Protocol
 
@@ -178,16 +178,129 @@ class Aligner(Protocol):
     def align(self, chapter: object, lo: float, hi: float, words: Sequence[str]) -> list[Word]: ...
 
 
+class ClipAligner:
+    """An aligner from one that only knows clips, with times from the clip's beginning; times move back to the chapter's, in hundredths."""
+
+    def __init__(self, align_clip: Callable[[object, float, float, Sequence[str]], list[Word]]):
+        self.align_clip = align_clip
+
+    def align(self, chapter: object, lo: float, hi: float, words: Sequence[str]) -> list[Word]:
+        if hi <= lo:
+            return []
+        return [replace(w, start=round(w.start + lo, 2), end=round(w.end + lo, 2)) for w in self.align_clip(chapter, lo, hi, words)]
+
+
+def attempted(aligner: Aligner, chapter: object, lo: float, hi: float, words: Sequence[str]) -> list[Word]:
+    """What the aligner gives; nothing where it refuses the window (too short for the words)."""
+    try:
+        return aligner.align(chapter, lo, hi, words)
+    except Exception:  # noqa: BLE001  one refused window must not cost the chapter
+        return []
+
+
+#: Seconds between two word starts that count as a gap.
+GAP = 3.0
+
+
+def gaps_filled(chapter: object, words: Sequence[Fused], asr: Sequence[Word], aligner: Aligner, rounds: int = 3) -> list[Fused]:
+    """Words before a gap aligned anew, one a round, until a try fails.
+
+    A word that forced alignment left of a gap is sought after the header's last
+    recognised word (the one before the first silence of more than 5 s among the
+    first twenty), else shortly before the gap's end; it moves if the new place
+    lies inside the gap at a score above 0.3.
+    """
+    out, tried = list(words), set()
+    quiet = next((asr[k - 1].start + 0.5 for k in range(1, min(len(asr), 20)) if asr[k].start - asr[k - 1].start > 5.0), None)
+    for _ in range(rounds):
+        place = lambda i: (i, round(out[i].start, 2))
+        i = next((i for i in range(len(out) - 1) if out[i + 1].start - out[i].start > GAP and out[i].source in ("ctc", "gap_fill") and place(i) not in tried), None)
+        if i is None:
+            break
+        tried.add(place(i))
+        begin, end = out[i].start, out[i + 1].start
+        lo = quiet if quiet is not None and quiet > begin else max(begin + 1.0, end - 2.0)
+        got = attempted(aligner, chapter, lo, end + 1.0, [out[i].text])
+        if not got or not (begin < got[0].start < end and got[0].score > 0.3):
+            break
+        out[i] = replace(out[i], start=got[0].start, end=got[0].end, score=got[0].score, source="gap_fill")
+    return out
+
+
+def heard_earlier(word: Fused, asr: Sequence[Word], rules: LanguageRules = LanguageRules()) -> bool:
+    """Whether recognition has the word, surely, more than two seconds before its place."""
+    form = norm(word.text, rules)
+    return bool(form) and any(w.score > 0.5 and word.start - w.start > 2.0 and norm(w.text, rules) and ratio(form, norm(w.text, rules)) >= 0.6 for w in asr)
+
+
+def drift_corrected(chapter: object, words: Sequence[Fused], asr: Sequence[Word], aligner: Aligner, rules: LanguageRules = LanguageRules()) -> list[Fused]:
+    """Both words of the first gap with drift behind it aligned anew in a tight window.
+
+    Drift: one of the nine words after the gap was heard earlier. A word at a
+    score above 0.3 moves if its new place is more than half a second earlier; at
+    about the same place only a better score is taken.
+    """
+    out = list(words)
+    for i in range(len(out) - 1):
+        if out[i + 1].start - out[i].start < GAP or not any(heard_earlier(w, asr, rules) for w in out[i + 1 : i + 10]):
+            continue
+        got = attempted(aligner, chapter, max(0.0, out[i].start - 0.5), out[i + 1].start + 0.5, [out[i].text, out[i + 1].text])
+        if len(got) == 2:
+            for k, new in zip((i, i + 1), got, strict=True):
+                apart = new.start - out[k].start
+                if new.score > 0.3 and apart < -0.5:
+                    out[k] = replace(out[k], start=new.start, end=new.end, score=new.score, source="drift_fix")
+                elif new.score > 0.3 and abs(apart) < 0.5:
+                    out[k] = replace(out[k], score=max(new.score, out[k].score))
+        break
+    return out
+
+
+def collapsed_at(words: Sequence[Word], least: float = 0.1, run: int = 5) -> int | None:
+    """First word of the first run of words that forced alignment lost."""
+    length = 0
+    for k, w in enumerate(words):
+        length = length + 1 if w.score <= least else 0
+        if length == run:
+            return k - run + 1
+    return None
+
+
+def stitched_words(first: Sequence[Word], verse_sizes: Sequence[int], verse: int, second: Sequence[Word]) -> list[Word]:
+    """Words before a verse from the first alignment, those from it on from the second."""
+    return [*first[: sum(verse_sizes[:verse])], *second]
+
+
+def forced(chapter: object, verses: Sequence[Sequence[str]], total: float, aligner: Aligner, asr: Sequence[Word] = (), begin: float = 0.0, rules: LanguageRules = LanguageRules()) -> list[Word]:
+    """Words of a chapter by forced alignment from ``begin`` on; where it collapses, once more from the verse's place in recognition."""
+    flat = [w for v in verses for w in v]
+    words = aligner.align(chapter, begin, total, flat)
+    lost = collapsed_at(words)
+    if lost is None or not asr:
+        return words
+    sizes = [len(v) for v in verses]
+    verse = next((k for k in range(len(sizes)) if sum(sizes[: k + 1]) > lost), len(sizes) - 1)
+    at = restart_time(norm(verses[verse][0], rules), asr, sum(sizes[:verse]), rules)
+    if not at or at >= total:
+        return words
+    return stitched_words(words, sizes, verse, aligner.align(chapter, at, total, [w for v in verses[verse:] for w in v]))
+
+
 @dataclass(frozen=True)
 class Segment:
     start: float
     end: float
     score: float
     source: str
+    words: tuple[Word, ...] = ()
+
 
+def windowed(chapter: object, segments: Sequence[Sequence[str]], total: float, aligner: Aligner, least: float = 8.0, share: float = 0.8, accept: float = 0.35, story: bool = False) -> list[Segment]:
+    """Segments aligned one after the other, each in a window around its pace estimate; the estimate where that fails.
 
-def windowed(chapter: object, segments: Sequence[Sequence[str]], total: float, aligner: Aligner, least: float = 8.0, share: float = 0.8, accept: float = 0.35) -> list[Segment]:
-    """Segments aligned one after the other, each in a window around its pace estimate; the estimate where that fails."""
+    The next window begins at a segment's end, which counts no further than the
+    next estimate; never before its own start, except in stories.
+    """
     counts = [len(s) for s in segments]
     all_words = max(1, sum(counts))
     starts = [total * sum(counts[:i]) / all_words for i in range(len(counts))] + [total]
@@ -200,18 +313,13 @@ def windowed(chapter: object, segments: Sequence[Sequence[str]], total: float, a
         hi = min(total, expected + length + window)
         if hi - lo < 1.3 * length + 2:
             hi = min(total, lo + 1.3 * length + 2)
-        got: list[Word] = []
-        if words and hi - lo >= 1:
-            try:
-                got = aligner.align(chapter, lo, hi, words)
-            except Exception:  # noqa: BLE001  an aligner may refuse a window; the estimate stands in
-                got = []
+        got = attempted(aligner, chapter, lo, hi, words) if words and hi - lo >= 1 else []
         scores = [w.score for w in got if w.score > 0]
         mean = sum(scores) / len(scores) if scores else 0.0
         if got and mean >= accept:
             start = got[0].start
-            end = max(start, min(got[-1].end, starts[i + 1]))
-            out.append(Segment(start, end, mean, "local"))
+            end = min(got[-1].end, starts[i + 1]) if i + 1 < len(segments) or not story else got[-1].end
+            out.append(Segment(start, end if story else max(start, end), mean, "local", tuple(got)))
         else:
             start = end = max(expected, floor)
             out.append(Segment(start, end, 0.0, "fallback"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cueflow.operators import alignment as a
 from cueflow.operators import chapters as c
 from cueflow.plans import views as v
 from cueflow.plans.registry import register
 from cueflow.session import ship
+from cueflow.sources import sinks
 
 
 def _inputs(spark, sf_dir):
@@ -95,3 +97,53 @@ def aligned_verses_all(spark, sf_dir):
 def aligned_quality(spark, sf_dir):
     """Quality of every aligned chapter."""
     return c.chapter_quality(c.aligned(*_inputs(spark, sf_dir)))
+
+
+class _Refuses:
+    """An aligner without audio: every window is refused, so every segment keeps its estimate."""
+
+    def align(self, chapter, lo, hi, words):
+        raise RuntimeError("no audio")
+
+
+def _paced(spark, sf_dir):
+    """Words of every chapter and its duration: half a second a word."""
+    ship(spark)
+    w = v.words(spark, sf_dir).select("chapter", "verse", "pos", "word")
+    return w, w.groupBy("chapter").agg((F.count("*") / 2).alias("seconds"))
+
+
+#: Estimates of the verses that have words: half a second for each word before.
+PACE = v.VERSES + ", e as (select chapter, verse, n_words, (sum(n_words) over (partition by chapter order by verse) - n_words) / 2.0 as ts from v_verses where n_words > 0)"
+
+
+@register("verse_only_words", f"with {PACE} select e.chapter, e.verse, unnest(generate_series(0, n_words - 1)) as pos, ts, 'fallback' as source from e")
+def verse_only_words(spark, sf_dir):
+    """Chapters without recognition whose windows the aligner refuses: pace estimates for every verse."""
+    return c.verse_only(*_paced(spark, sf_dir), _Refuses).select("chapter", "verse", "pos", "ts", "source")
+
+
+@register("verse_only_starts", f"with {PACE} select v.chapter, v.verse, coalesce(max(e.ts), 0) as ts from v_verses v left join e on v.chapter = e.chapter and e.verse <= v.verse group by all union all select distinct chapter, 0, 0.0 from v_verses")
+def verse_only_starts(spark, sf_dir):
+    """Verse starts of such chapters; a verse without words has the start of the one before."""
+    return c.verse_only_starts(c.verse_only(*_paced(spark, sf_dir), _Refuses), v.verses(spark, sf_dir))
+
+
+@register("story_timing_export", f"with {PACE} select chapter, concat('[', string_agg(concat('{{\"story\":\"', chapter, '\",\"segment\":', verse, ',\"timestamp\":', ts, ',\"score\":0.0,\"source\":\"fallback\"}}'), ',' order by verse), ']') as json from e group by chapter")
+def story_timing_export(spark, sf_dir):
+    """Segments of stories as JSON arrays."""
+    return sinks.story_timing_json(c.story_timings(c.verse_only(*_paced(spark, sf_dir), _Refuses, story=True)))
+
+
+@register("segment_stats", f"with {PACE} select chapter, count(*) as segments, count(*) as fallbacks, 0.0 as avg_score from e group by chapter")
+def segment_stats(spark, sf_dir):
+    """Segments, fallbacks and mean local score of each story."""
+    return c.segment_stats(c.verse_only(*_paced(spark, sf_dir), _Refuses, story=True))
+
+
+@register("gap_filled_words")
+def gap_filled_words(spark, sf_dir):
+    """Fused words of every chapter, with gaps filled by an aligner over stored words."""
+    ref, ctc, asr = _whole(spark, sf_dir)
+    moved = ctc.withColumn("start", F.when(F.col("widx") % 50 == 20, F.col("start") - 4.0).otherwise(F.col("start")))
+    return c.aligned(ref, moved, asr, aligner=lambda: a.TableAligner([])).drop("anchor")
