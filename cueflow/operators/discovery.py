@@ -123,3 +123,73 @@ def contributed_pairs(files: DataFrame) -> DataFrame:
     audio = files.where("kind = 'audio'").select(*CHAPTER, F.col("path").alias("audio_path"))
     text = files.where("kind = 'text'").groupBy(*CHAPTER).agg(F.min_by("path", F.struct("pattern", "path")).alias("text_path"))
     return audio.join(text, CHAPTER)
+
+
+def external_contributions(texts: DataFrame, times: DataFrame, books: DataFrame) -> DataFrame:
+    """Contributed chapters whose audio lies elsewhere: texts of the books that the metadata has, with their stamps where there are any.
+
+    texts and times: name (``BOOK_N``), path. Names without a number are left out.
+    """
+    name = lambda df, c: df.select(F.split_part("name", F.lit("_"), F.lit(1)).alias("book"), F.expr("try_cast(substring(name, instr(name, '_') + 1) as int)").alias("chapter"), F.col("path").alias(c))
+    t = name(texts.where("instr(name, '_') > 0"), "text_path").where("chapter is not null").join(books.select("book").distinct(), "book", "left_semi")
+    return t.join(name(times, "times_path"), ["book", "chapter"], "left")
+
+
+def remote_sources(dirs: DataFrame, audio_meta: DataFrame, known_readers: DataFrame) -> DataFrame:
+    """Where the audio of a version is read from: its own metadata, else the reader that its id belongs to, else local.
+
+    dirs: version_dir, distinct_id, external (whether it lies among aligned
+    external content). audio_meta: version_dir, type. known_readers: translation, reader, distinct_id.
+    """
+    first = known_readers.groupBy("distinct_id").agg(F.min(F.struct("translation", "reader")).alias("r"))
+    meta = audio_meta.select("version_dir", F.coalesce("type", F.lit("external")).alias("type"))
+    j = dirs.join(meta, "version_dir", "left").join(first, "distinct_id", "left")
+    read = F.col("external") & F.col("r").isNotNull()
+    kind = F.coalesce(F.col("type"), F.when(read, "reader"), F.lit("local"))
+    only = F.col("type").isNull() & read
+    return j.select("version_dir", "distinct_id", kind.alias("kind"), F.when(only, F.col("r.translation")).alias("translation"), F.when(only, F.col("r.reader")).alias("reader"))
+
+
+def cross_source(files: DataFrame, equivalent: DataFrame) -> DataFrame:
+    """Audio-only versions with an equivalent external text: (canon, iso, distinct_id, external_id, books).
+
+    Ids are upper-case without underscores. equivalent: iso, canon, distinct_id, external_id (verified matches).
+    """
+    key = ["canon", "iso", "distinct_id"]
+    audio = files.where("kind = 'audio'").where((F.col("distinct_id") == F.upper("distinct_id")) & ~F.col("distinct_id").contains("_"))
+    without = audio.join(files.where("kind = 'text'").select(*key).distinct(), key, "left_anti")
+    books = without.select(*key, "book").distinct().groupBy(*key).agg(F.array_sort(F.collect_list("book")).alias("books"))
+    return books.join(equivalent.groupBy(*key).agg(F.min("external_id").alias("external_id")), key)
+
+
+def external_chapters(books: DataFrame, local: DataFrame) -> DataFrame:
+    """Local chapters that an external book list reaches. books: book, n_chapters. local: book, chapter, …"""
+    return local.join(books.select("book", "n_chapters"), "book").where("chapter <= n_chapters").drop("n_chapters")
+
+
+def preferred_texts(wanted: DataFrame, index: DataFrame, equivalent: DataFrame) -> DataFrame:
+    """Source of the text of each (iso, canon, distinct_id): the external one where the index lists it and a verified match is known, else the default.
+
+    index: iso, canon, source. equivalent: iso, canon, distinct_id, external_id.
+    """
+    listed = index.where("source = 'external'").select("iso", "canon").distinct().withColumn("listed", F.lit(True))
+    match = equivalent.groupBy("iso", "canon", "distinct_id").agg(F.min("external_id").alias("external_id"))
+    j = wanted.join(listed, ["iso", "canon"], "left").join(match, ["iso", "canon", "distinct_id"], "left")
+    use = F.col("listed") & F.col("external_id").isNotNull()
+    return j.select("iso", "canon", "distinct_id", F.when(use, "external").otherwise("default").alias("chosen"), F.when(use, F.col("external_id")).alias("source_id"))
+
+
+def external_texts(wanted: DataFrame, versions: DataFrame, cross: DataFrame, equivalent: DataFrame) -> DataFrame:
+    """Where the text of a version without one is found: (iso, version, source, source_id), nulls where nowhere.
+
+    Testaments are tried in order (nt, ot) where the service has audio and no
+    text: first the verified external match, then the archive, whose id is the
+    version's own or the first of the language's cross references.
+    """
+    lang = cross.where("ebible is not null").groupBy("iso").agg(F.min_by("ebible", "version").alias("lang_id"))
+    v = versions.where(F.col("dbt").contains("a") & ~F.col("dbt").contains("t")).join(lang, "iso", "left").join(equivalent, ["iso", "version", "canon"], "left")
+    archive = F.when(F.col("ebible") == "t", F.coalesce("ebible_id", "lang_id"))
+    match = F.when(F.col("helloao") == "t", F.col("external_id"))
+    found = v.select("iso", "version", "canon", F.when(match.isNotNull(), F.struct(F.lit("external").alias("source"), match.alias("source_id"))).when(archive.isNotNull(), F.struct(F.lit("archive").alias("source"), archive.alias("source_id"))).alias("s"))
+    first = found.where("s is not null").groupBy("iso", "version").agg(F.min_by("s", "canon").alias("s"))
+    return wanted.join(first, ["iso", "version"], "left").select("iso", "version", "s.source", "s.source_id")

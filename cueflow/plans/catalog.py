@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cueflow.plans import chapters, discovery, joins, planning, reports, sequence, text, timing  # noqa: F401  (they register their queries)
+from cueflow.plans import chapters, discovery, joins, planning, reporting, reports, scans, sequence, text, timing  # noqa: F401  (they register their queries)
 from cueflow.plans.registry import QUERIES, SQL, Query
 
 

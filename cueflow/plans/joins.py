@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cueflow.operators import discovery as d
+from cueflow.operators import reporting as r
 from cueflow.plans import views as v
 from cueflow.plans.registry import register
 from cueflow.sources.tables import table
@@ -74,14 +76,24 @@ def job_fanout(spark, sf_dir):
     w = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item"), F.col("o_custkey").alias("key"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") % 3).alias("wanted"))
     c = table(spark, sf_dir, "customer")
     j = c.select(F.col("c_custkey").alias("key"), (F.col("c_custkey") % 3).alias("did")).union(c.where("c_nationkey < 5").select("c_custkey", (F.col("c_custkey") + 1) % 3)).distinct()
-    return w.join(j, "key").where("wanted is null or wanted = did").select("item", "key", "did")
+    return r.fanned_out(w, j, ["key"])[0].select("item", "key", "did")
+
+
+@register("job_fanout_unmet", "with w as (select o_orderkey as item, o_custkey % 700 as key, case when o_orderkey % 5 = 0 then null else o_orderkey % 3 end as did from orders), j as (select distinct c_custkey % 600 as key, c_custkey % 2 as did from customer) select item, w.key, w.did as wanted from w where not exists (select 1 from j where w.key = j.key and (w.did is null or w.did = j.did))")
+def job_fanout_unmet(spark, sf_dir):
+    """Work that no job of its key takes."""
+    o = F.col("o_orderkey")
+    w = table(spark, sf_dir, "orders").select(o.alias("item"), (F.col("o_custkey") % 700).alias("key"), F.when(o % 5 != 0, o % 3).alias("wanted"))
+    j = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 600).alias("key"), (F.col("c_custkey") % 2).alias("did")).distinct()
+    return r.fanned_out(w, j, ["key"])[1].select("item", "key", "wanted")
 
 
 @register("external_chapters", "select n_nationkey as book, c_custkey as chapter from nation join customer on c_nationkey = n_nationkey and c_custkey <= n_nationkey * 40 + 10")
 def external_chapters(spark, sf_dir):
     """Local chapters that an external book list reaches: equal books, chapter not above their number."""
     n, c = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
-    return n.join(c, (c.c_nationkey == n.n_nationkey) & (c.c_custkey <= n.n_nationkey * 40 + 10)).select(F.col("n_nationkey").alias("book"), F.col("c_custkey").alias("chapter"))
+    books = n.select(F.col("n_nationkey").alias("book"), (F.col("n_nationkey") * 40 + 10).alias("n_chapters"))
+    return d.external_chapters(books, c.select(F.col("c_nationkey").alias("book"), F.col("c_custkey").alias("chapter")))
 
 
 @register("word_quality_join", f"with {v.WORDS}, {v.TIMELINE.strip()} select w.chapter, w.widx, w.word, coalesce(t.source, '?') as source, coalesce(t.pct, -1) as pct from v_words w left join v_timeline t on w.chapter = t.chapter and w.widx = t.widx")

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from cueflow.functions import text as x
 from cueflow.operators import discovery as d
+from cueflow.operators import reporting as r
 from cueflow.plans import views as v
 from cueflow.plans.registry import register
 from cueflow.sources import files, sinks
@@ -50,7 +51,7 @@ def timecode_scan(spark, sf_dir):
     """Downloaded timecode of each chapter: a later search directory overwrites an earlier one."""
     search = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3)
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("chapter"), F.col("o_orderkey").alias("path"), search.alias("search"))
-    return o.groupBy("chapter").agg(F.max_by("path", F.struct("search", "path")).alias("path"))
+    return r.latest_timecodes(o, ["chapter"])
 
 
 @register("csv_times", f"with {v.JITTER}, l as (select chapter, verse, stamp, row_number() over (partition by chapter order by verse) as line from v_jitter where event_type <> 'error') select chapter, line, stamp as value from l")
@@ -73,18 +74,17 @@ def drama_filter(spark, sf_dir):
 @register("chapters_merge", "select user_id % 9 as book, count(distinct event_id % 60) as n_chapters, string_agg(distinct cast(event_id % 60 as varchar), ',' order by cast(event_id % 60 as varchar)) as chapters from events group by all")
 def chapters_merge(spark, sf_dir):
     """Chapters of each book over all jobs, as sets."""
-    e = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 9).alias("book"))
-    c = (F.col("event_id") % 60).cast("string")
-    return e.agg(F.countDistinct(c).alias("n_chapters"), F.array_join(F.array_sort(F.collect_set(c)), ",").alias("chapters"))
+    e = table(spark, sf_dir, "events").select((F.col("user_id") % 9).alias("book"), (F.col("event_id") % 60).cast("string").alias("chapter"))
+    return r.merged_chapters(e, ["book"]).withColumn("chapters", F.array_join("chapters", ","))
 
 
 @register("availability", "with a as (select user_id % 5 as k, event_id % 12 + 1 as ch from events) select r_name as book, cast(r_regionkey * 7 + 5 as int) as expected, count(distinct ch) filter (where ch <= r_regionkey * 7 + 5) as available from region left join a on k = r_regionkey group by all")
 def availability(spark, sf_dir):
     """Available and expected chapters of each book."""
-    a = table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("k"), (F.col("event_id") % 12 + 1).alias("ch"))
-    r = table(spark, sf_dir, "region").select(F.col("r_name").alias("book"), (F.col("r_regionkey") * 7 + 5).cast("int").alias("expected"), "r_regionkey")
-    j = r.join(a, r.r_regionkey == a.k, "left")
-    return j.groupBy("book", "expected").agg(F.countDistinct(F.when(F.col("ch") <= F.col("expected"), F.col("ch"))).alias("available"))
+    have = table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("k"), (F.col("event_id") % 12 + 1).alias("chapter"))
+    expected = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("k"), "r_name", (F.col("r_regionkey") * 7 + 5).cast("int").alias("expected"))
+    got = r.availability(expected.select("k", "expected"), have, ["k"]).drop("expected")
+    return expected.join(got, "k").select(F.col("r_name").alias("book"), "expected", "available")
 
 
 @register("story_stats", f"with {v.TIMELINE} select chapter, count(*) as segments, count(*) filter (where pct < 35) as fallback, coalesce(cast(sum(pct) filter (where pct >= 35) as bigint) // nullif(count(*) filter (where pct >= 35), 0), 0) as mean_local from v_timeline group by chapter")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cueflow.operators import reporting as r
 from cueflow.operators import timing as t
 from cueflow.plans import views as v
 from cueflow.plans.registry import register
+from cueflow.sources import sinks
 from cueflow.sources.tables import table
 
 DEFECTS = f"{v.JITTER}, d as (select *, stamp - lag(stamp) over (partition by chapter order by verse) as delta from v_jitter), f as (select chapter, count(*) as n_verses, count(*) filter (where delta = 0) as n_dupes, count(*) filter (where delta < 0) as n_backwards, count(*) filter (where delta > 0 and delta < 5) as n_tiny, count(*) filter (where delta > 120) as n_gaps from d group by chapter having count(*) >= 2)"
@@ -149,13 +151,13 @@ def quality_summary(spark, sf_dir):
     return s.join(p, "chapter", "left").withColumn("mean_positive", F.coalesce("mean_positive", F.lit(0)))
 
 
-@register("model_compare", f"with {v.TIMELINE}, d as (select a.chapter, abs(a.start_us - b.start_us) // 1000000 as d from v_timeline a join v_timeline b on a.chapter = b.chapter and b.widx = a.widx + 1 where a.source = 'click' and b.source = 'view') select chapter, count(*) as n, cast(sum(d) as bigint) as sum_d, max(d) as max_d, cast(quantile_cont(d, 0.5) * 2 as bigint) as median_2x, count(*) filter (where d <= 3600) as within_hour from d group by chapter")
+@register("model_compare", f"with {v.TIMELINE}, d as (select a.chapter, abs(a.start_us - b.start_us) // 1000000 as d from v_timeline a join v_timeline b on a.chapter = b.chapter and b.widx = a.widx + 1 where a.source = 'click' and b.source = 'view') select chapter, count(*) as n, cast(sum(d) as bigint) as sum_d, max(d) as max_d, cast(quantile_cont(d, 0.5) * 2 as bigint) as median_2x, count(*) filter (where d <= 3600) as within_hour, count(*) filter (where d <= 86400) as within_day, count(*) filter (where d > 86400) as over_day from d group by chapter")
 def model_compare(spark, sf_dir):
     """Neighbouring words of two models: count, sum, maximum, twice the median, share within an hour."""
     tl = v.timeline(spark, sf_dir)
     a, b = tl.where("source = 'click'").select("chapter", "widx", F.col("start_us").alias("sa")), tl.where("source = 'view'").select("chapter", (F.col("widx") - 1).alias("widx"), F.col("start_us").alias("sb"))
     d = a.join(b, ["chapter", "widx"]).withColumn("d", F.expr("abs(sa - sb) div 1000000"))
-    return d.groupBy("chapter").agg(F.count("*").alias("n"), F.sum("d").alias("sum_d"), F.max("d").alias("max_d"), (F.expr("percentile(d, 0.5)") * 2).cast("bigint").alias("median_2x"), F.count_if(F.col("d") <= 3600).alias("within_hour"))
+    return r.compared_models(d, ["chapter"], "d", (("within_hour", 3600), ("within_day", 86400)), (("over_day", 86400),)).withColumn("median_2x", (F.col("median") * 2).cast("bigint")).drop("median")
 
 
 @register("top_divergences", DELTA + " select iso, chapter, max_delta, max_verse from c order by max_delta desc, chapter limit 10")
@@ -176,8 +178,18 @@ def nearest_before(spark, sf_dir):
 def error_log_merge(spark, sf_dir):
     """Append-only error rows seen as one list for each key."""
     e = table(spark, sf_dir, "events").where(F.col("event_type").isin("error", "signup"))
-    e = e.groupBy(F.col("user_id").alias("chapter"), F.col("event_type").alias("kind"))
-    return e.agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("event_id")), ",").alias("details"))
+    log = sinks.error_log(e.select(F.col("user_id").alias("chapter"), F.col("event_type").alias("kind"), "event_id"), ["chapter", "kind"])
+    return log.select("chapter", "kind", F.size("errors").cast("bigint").alias("n"), F.array_join(F.transform("errors", lambda x: x.event_id.cast("string")), ",").alias("details"))
+
+
+@register("error_lists", "select user_id as chapter, max(ts) as timestamp, count(*) filter (where event_type = 'click') as n_audio, count(*) filter (where event_type = 'view') as n_text, string_agg(cast(event_id as varchar), ',' order by ts, event_id) filter (where event_type = 'error') as timing from events where event_type in ('click', 'view', 'error') group by user_id")
+def error_lists(spark, sf_dir):
+    """Error rows of each chapter in lists by content."""
+    content = F.when(F.col("event_type") == "click", "audio").when(F.col("event_type") == "view", "text").otherwise("timing")
+    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view", "error"))
+    e = e.select(F.col("user_id").alias("chapter"), sinks.error_row(F.lit("not_found"), content, F.lit("F"), F.lit("D"), F.format_string("%09d", "event_id"), F.col("ts")).alias("error"))
+    ids = F.array_join(F.transform("timing_errors", lambda x: x.details.cast("bigint").cast("string")), ",")
+    return sinks.error_lists(e, ["chapter"]).select("chapter", "timestamp", F.size("audio_errors").cast("bigint").alias("n_audio"), F.size("text_errors").cast("bigint").alias("n_text"), F.nullif(ids, F.lit("")).alias("timing"))
 
 
 @register("provenance_upsert", "with o as (select user_id as k, max(event_id) filter (where event_type = 'click') as audio, max(event_id) filter (where event_type = 'view') as text from events where event_id % 2 = 0 group by all), n as (select user_id as k, max(event_id) filter (where event_type = 'click') as audio, max(event_id) filter (where event_type = 'purchase') as text from events where event_id % 3 = 0 group by all) select coalesce(o.k, n.k) as k, coalesce(n.audio, o.audio) as audio, coalesce(n.text, o.text) as text from o full join n on o.k = n.k")
@@ -192,5 +204,4 @@ def provenance_upsert(spark, sf_dir):
 @register("run_counters", "select event_type as status, count(*) as n, count(distinct user_id) as chapters, cast(sum(cast(floor(value) as bigint)) as bigint) as seconds from events group by all")
 def run_counters(spark, sf_dir):
     """Counters by status, with seconds of audio."""
-    e = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("status"))
-    return e.agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("chapters"), F.sum(F.floor("value").cast("bigint")).alias("seconds"))
+    return r.run_counters(table(spark, sf_dir, "events"), "event_type", "user_id", F.floor("value").cast("bigint"))

@@ -36,3 +36,13 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(to))
     _shipped.add(sc.applicationId)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; one of our own only where it is unset and Spark runs locally (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.gettempdir()

@@ -7,6 +7,7 @@ except the two small TOML readers.
 
 from __future__ import annotations
 
+import json
 import tomllib
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,9 +74,12 @@ def reference_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def jobs(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Jobs of batch manifests, one row a chapter; of equal batch ids the one in the earliest path counts."""
+    """Jobs of batch manifests, one row a chapter; of equal batch ids the one in the earliest path counts. Paths that do not exist are skipped; if none does, they are named."""
     tiers = []
-    for tier, p in enumerate(paths):
+    there = [p for p in paths if any(c in p for c in "*?[{") or exists(spark, p)]
+    if not there:
+        raise FileNotFoundError(f"no manifest in {', '.join(paths)}")
+    for tier, p in enumerate(there):
         tiers.append(spark.read.schema(MANIFEST_SCHEMA).option("multiLine", "true").json(p).withColumn("tier", F.lit(tier)))
     raw = tiers[0]
     for t in tiers[1:]:
@@ -90,20 +94,82 @@ def stories(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("iso", "source", F.explode("stories").alias("story_id", "s")).select("iso", "source", "story_id", "s.audio_url", "s.segment_count")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def parsed_or_nothing(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One row from a JSON document of a file; none where the file is missing or no JSON: unknown, not empty."""
+    kind = schema if schema.startswith(("map<", "array<", "struct<")) else f"struct<{schema}>"
+    if not exists(spark, path):
+        return spark.createDataFrame([], f"doc {kind}")
+    raw = spark.read.text(path, wholetext=True)
+    return raw.select(F.from_json("value", kind).alias("doc")).where("doc is not null")
+
+
 def catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Catalogue entries in long form: iso, canon, distinct_id, raw_id, codec, fmt."""
-    raw = spark.read.schema(CATALOG_SCHEMA).option("multiLine", "true").json(path)
+    """Catalogue entries in long form: iso, canon, distinct_id, raw_id, codec, fmt; no rows where it cannot be read."""
+    raw = parsed_or_nothing(spark, path, "struct<entries:map<string,map<string,array<struct<id:string,c:string,fmt:array<string>>>>>>").select(F.col("doc.entries").alias("entries"))
     e = raw.select(F.explode("entries").alias("key", "ids")).select("key", F.explode("ids").alias("distinct_id", "files")).select("key", "distinct_id", F.explode("files").alias("f"))
     return e.select(F.split_part("key", F.lit(":"), F.lit(1)).alias("iso"), F.split_part("key", F.lit(":"), F.lit(2)).alias("canon"), "distinct_id", F.col("f.id").alias("raw_id"), F.col("f.c").alias("codec"), "f.fmt")
 
 
 def coverage(spark: SparkSession, path: str, distinct_id: str) -> DataFrame:
-    """book -> chapters of one id."""
-    raw = spark.read.text(path, wholetext=True)
-    m = raw.select(F.from_json("value", "map<string,array<int>>").alias("m"))
+    """book -> chapters of one id; no rows where it cannot be read, which readers take for unknown."""
+    m = parsed_or_nothing(spark, path, "map<string,array<int>>").select(F.col("doc").alias("m"))
     return m.select(F.explode("m").alias("book", "chapters")).select(F.lit(distinct_id).alias("distinct_id"), "book", F.explode("chapters").alias("chapter"))
 
 
+_SOURCES = "struct<dbt:string,helloao:string,ebible:string,ebible_id:string>"
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """(iso, version, canon, dbt, helloao, ebible, ebible_id) of ``root/<iso>/versions.json``: which kinds each source has.
+
+    The id of the third source stands at the testament or at the version. A file
+    that is no JSON gives no rows. Cached by the caller, if at all.
+    """
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "versions.json").text(root, wholetext=True)
+    raw = raw.withColumn("iso", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/versions\.json$", 1))
+    entry = f"map<string,struct<nt:{_SOURCES},ot:{_SOURCES},ebible_id:string>>"
+    v = raw.select("iso", F.explode(F.from_json("value", entry)).alias("version", "v"))
+    sides = F.array(*(F.struct(F.lit(c).alias("canon"), F.col(f"v.{c}").alias("s")) for c in ("nt", "ot")))
+    flat = v.select("iso", "version", F.col("v.ebible_id").alias("own"), F.explode(sides).alias("x")).where("x.s is not null")
+    return flat.select("iso", "version", "x.canon", "x.s.dbt", "x.s.helloao", "x.s.ebible", F.coalesce("x.s.ebible_id", "own").alias("ebible_id"))
+
+
+def cross_references(spark: SparkSession, path: str) -> DataFrame:
+    """(iso, version, ebible) of a cross-reference file; no rows where it cannot be read."""
+    raw = parsed_or_nothing(spark, path, "map<string,map<string,struct<ebible:string>>>")
+    return raw.select(F.explode("doc").alias("iso", "versions")).select("iso", F.explode("versions").alias("version", "x")).select("iso", "version", "x.ebible")
+
+
+def readers(path: str) -> list[tuple[str, str, str]]:
+    """(translation, reader, distinct_id) of a TOML file; none where it cannot be read."""
+    try:
+        with open(path, "rb") as f:
+            known = tomllib.load(f)
+    except (OSError, tomllib.TOMLDecodeError):
+        return []
+    return [(t, r, m["distinct_id"]) for t, meta in known.get("translations", {}).items() for r, m in meta.get("readers", {}).items() if m.get("distinct_id")]
+
+
+def audio_links(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reader, url) of external chapter JSON."""
+    raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
+    links = F.from_json("value", "struct<thisChapterAudioLinks:map<string,string>>")
+    return raw.select("path", F.explode(links["thisChapterAudioLinks"]).alias("reader", "url"))
+
+
+def chapter_text(body: str) -> tuple[Column, Column]:
+    """(path, text) of a text service's answer: the path of a file, or verses given in line, of which empty ones are dropped."""
+    data = F.from_json(F.col(body), "struct<data:array<struct<path:string,verse_text:string>>>")["data"]
+    lines = F.filter(F.transform(data, lambda d: d.verse_text), lambda t: t.isNotNull() & (t != ""))
+    first = F.get(data, F.lit(0))["path"]
+    return first, F.when(first.isNull() & (F.size(lines) > 0), F.array_join(lines, "\n"))
+
+
 def contributed_times(spark: SparkSession, path: str) -> DataFrame:
     """CSV of one end stamp a line; blank and non-numeric lines are skipped, lines are numbered after that."""
     raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
@@ -144,6 +210,18 @@ def machine_options(values: dict, defaults: dict) -> dict:
     return defaults | {k: v for k, v in values.items() if k in defaults}
 
 
+def machine_file(path: str, defaults: dict) -> tuple[dict, str | None]:
+    """Options of a JSON file over the defaults, and a warning where the file is there but cannot be read."""
+    try:
+        with open(path, encoding="utf-8") as f:
+            values = json.load(f)
+    except FileNotFoundError:
+        return dict(defaults), None
+    except (OSError, ValueError) as e:
+        return dict(defaults), f"{path}: {e}"
+    return (machine_options(values, defaults), None) if isinstance(values, dict) else (dict(defaults), f"{path}: no object")
+
+
 def contribution(text: str, directory: str) -> dict[str, str | None]:
     """canon and distinct_id of a contribution: TOML, else plain ``key = value`` lines, else parts of ``iso_id_canon``."""
     try:
