@@ -42,6 +42,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ SLACK = 5.0
 #: Nodes of a block, and bytes of their full sets, about; a task holds two blocks.
 BLOCK, BLOCK_BYTES = 500, 16 << 20
 #: Counters for the frequency of shingles, by hash; their number bounds what the driver holds.
-COUNTERS = 1 << 16
+COUNTERS = 1 << 14
 #: Rows wanted from the documents are broadcast up to this number, else joined with a shuffle.
 BROADCAST_ROWS = 400_000
 #: Word hashes kept in a worker at a time.
@@ -319,13 +320,15 @@ def _prefix_groups(members: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for x in batch["set"]:
                 total += np.bincount((np.frombuffer(x, np.uint64) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"counter": at, "n": total[at]})
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId() % 32], "counts": [total.tobytes()]})
 
-    got = members.select("set").mapInPandas(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect()
-    total = np.zeros(COUNTERS, np.int64)
-    for r in got:
-        total[r.counter] = r.n
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum((np.frombuffer(x, np.int64) for x in pdf["counts"]), np.zeros(COUNTERS, np.int64))
+        return pd.DataFrame({"counts": [total.tobytes()]})
+
+    # one row a task, then at most 32 for the driver
+    rows = members.select("set").mapInPandas(count, "part int, counts binary").groupBy("part").applyInPandas(added, "counts binary").collect()
+    total = sum((np.frombuffer(r.counts, np.int64) for r in rows), np.zeros(COUNTERS, np.int64))
     held = spark.sparkContext.broadcast(total)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
