@@ -32,7 +32,7 @@ class LanguageRules:
 @F.pandas_udf(StringType())
 def decomposed(texts: pd.Series) -> pd.Series:
     """Canonical decomposition (NFD), which Spark does not have."""
-    return texts.map(lambda t: unicodedata.normalize("NFD", t), na_action="ignore")
+    return texts.map(lambda t: t if t.isascii() else unicodedata.normalize("NFD", t), na_action="ignore")
 
 
 def _clean(text: Column, rules: LanguageRules) -> Column:
