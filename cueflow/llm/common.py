@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from cueflow.session import ship
 
-#: Rows in one Arrow batch; with whole texts in a batch this bounds a Python worker's memory.
-BATCH_ROWS = 512
+#: Rows and bytes in one Arrow batch at most; with whole texts in a batch this bounds a Python worker's memory.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Rows carry whole texts: keep Arrow batches short. Python workers get this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship(spark)
 
 

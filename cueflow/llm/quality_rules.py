@@ -9,8 +9,9 @@ rows that it covers are taken away. The list becomes one chain of
 
 Null text is empty text; it has no words and fails the base rule. Documents are
 judged each by itself, so repeated rows get equal results. Without labelled
-rows of both kinds the list is empty and the base rule alone decides. An empty
-table gives an empty result. Extra columns stay.
+rows of both kinds the list is empty and the base rule alone decides. Texts of
+any length are judged whole. An empty table gives an empty result. Extra columns
+stay, also such with the result's names.
 """
 
 from __future__ import annotations
