@@ -193,3 +193,35 @@ def external_texts(wanted: DataFrame, versions: DataFrame, cross: DataFrame, equ
     found = v.select("iso", "version", "canon", F.when(match.isNotNull(), F.struct(F.lit("external").alias("source"), match.alias("source_id"))).when(archive.isNotNull(), F.struct(F.lit("archive").alias("source"), archive.alias("source_id"))).alias("s"))
     first = found.where("s is not null").groupBy("iso", "version").agg(F.min_by("s", "canon").alias("s"))
     return wanted.join(first, ["iso", "version"], "left").select("iso", "version", "s.source", "s.source_id")
+
+
+def with_valid_tags(files: DataFrame, expected: DataFrame, keys: list[str], reachable: bool) -> DataFrame:
+    """Texts whose tag is one that their version can have; all of them if the catalogue could not be reached.
+
+    expected: keys, tag.
+    """
+    if not reachable:
+        return files
+    return files.withColumn("tag", text_tag()).join(expected.select(*keys, "tag").distinct(), [*keys, "tag"], "left_semi").drop("tag")
+
+
+def redone(done: DataFrame, collapsed: DataFrame, keys: list[str]) -> DataFrame:
+    """What counts as done when collapsed outputs are to be made again."""
+    return done.join(collapsed.select(*keys).distinct(), keys, "left_anti")
+
+
+def verse_line(texts: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The line of each wanted verse (keys, verse); null beyond the text's end."""
+    return wanted.join(texts.select(*keys, "verse", "text"), [*keys, "verse"], "left")
+
+
+def import_plan(pairs: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """What an import would do to each contributed chapter: its actions in order, chapters without any left out.
+
+    pairs: keys, audio_path, text_path, times_path. existing: keys, kind (audio, text, timing).
+    """
+    has = existing.groupBy(*keys).agg(F.collect_set("kind").alias("__has"))
+    j = pairs.join(has, keys, "left").withColumn("__has", F.coalesce("__has", F.array().cast("array<string>")))
+    step = lambda path, kind, name: F.when(F.col(path).isNotNull() & ~F.array_contains("__has", kind), F.lit(name))
+    steps = F.array_compact(F.array(step("audio_path", "audio", "copy audio"), step("text_path", "text", "copy text"), step("times_path", "timing", "convert times")))
+    return j.withColumn("actions", steps).where(F.size("actions") > 0).drop("__has")

@@ -146,3 +146,20 @@ def overlapping_chunks(values: str, chunk: int, overlap: int) -> Column:
 def stitched(chunks: str, overlap: int) -> Column:
     """The array again: later chunks lose the overlap that they begin with."""
     return F.flatten(F.transform(F.col(chunks), lambda c: F.when(c.k == 0, c.part).otherwise(F.slice(c.part, overlap + 1, F.greatest(F.size(c.part) - overlap, F.lit(0))))))
+
+
+def stitched_frames(chunks: str, overlap: int) -> Column:
+    """Frames of chunks (structs k, samples, frames) as one array: later chunks lose the share of frames that their overlap makes, rounded down."""
+
+    def kept(c: Column) -> Column:
+        lost = F.floor(F.size(c.frames) * F.least(F.lit(overlap), c.samples) / c.samples).cast("int")
+        return F.when(c.k == 0, c.frames).otherwise(F.slice(c.frames, lost + 1, F.greatest(F.size(c.frames) - lost, F.lit(0))))
+
+    return F.flatten(F.transform(F.col(chunks), kept))
+
+
+def sample_chunks(total: str, chunk: int, overlap: int) -> Column:
+    """Chunks of so many samples as structs (k, begin, samples); each begins ``overlap`` before the end of the one before."""
+    step = chunk - overlap
+    count = F.greatest(F.lit(1), F.ceil((F.col(total) - overlap) / F.lit(step)).cast("int"))
+    return F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.struct(k.alias("k"), (k * step).alias("begin"), (F.least(k * step + chunk, F.col(total).cast("int")) - k * step).alias("samples")))

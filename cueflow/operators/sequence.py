@@ -162,3 +162,12 @@ def per_segment_words(df: DataFrame, start: str, end: str, words: str) -> DataFr
     out = df.withColumn("__n", size).select("*", F.posexplode(words).alias("pos", "word"))
     span = f"({end} - {start})"
     return out.withColumn("word_start", F.expr(f"{start} + ({span} * pos) div __n")).withColumn("word_end", F.expr(f"{start} + ({span} * (pos + 1)) div __n")).drop("__n")
+
+
+def interpolated(df: DataFrame, keys: Keys, order: list, words: str, ends: DataFrame, name: str = "start") -> DataFrame:
+    """Starts in proportion to words up to the end of the last segment of ``ends`` (keys, end), both whole; rounded half up, 0 without words or segments."""
+    last = ends.groupBy(*keys).agg(F.max("end").alias("__end"))
+    prior = F.coalesce(F.sum(words).over(before(keys, order)), F.lit(0))
+    df = df.withColumn("__prior", prior).withColumn("__all", F.sum(words).over(Window.partitionBy(*keys))).join(last, keys, "left")
+    share = F.when(F.col("__all") > 0, F.expr("(2 * coalesce(__end, 0) * __prior + __all) div (2 * __all)")).otherwise(F.lit(0))
+    return df.withColumn(name, share).drop("__prior", "__all", "__end")

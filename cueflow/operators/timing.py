@@ -135,3 +135,15 @@ def places(df: DataFrame, score: Column, low: str, keys: list[str]) -> DataFrame
     """Places of the rows of an overview by score, by low words and by key; one row for each group, so the table is small."""
     n = lambda *order: F.row_number().over(Window.orderBy(*order))
     return df.select(*keys, n(score, *keys).alias("by_score"), n(F.desc(low), *keys).alias("by_low"), n(*keys).alias("by_key"))
+
+
+def gaps_with_partial(have: DataFrame, lack: DataFrame, partial: DataFrame, keys: Keys) -> DataFrame:
+    """Covered rows without output, and whether some output was made for them all the same."""
+    some = partial.select(*keys).distinct().withColumn("has_partial", F.lit(True))
+    return covered_but_missing(have, lack, keys).join(some, keys, "left").withColumn("has_partial", F.coalesce("has_partial", F.lit(False)))
+
+
+def overview_filtered(df: DataFrame, low: str, least: int = 0, fileset: str | None = None, column: str = "fileset") -> DataFrame:
+    """Rows with at least so many low words, of one file set if it is named; case does not count."""
+    out = df.where(F.col(low) >= least)
+    return out.where(F.upper(column) == fileset.upper()) if fileset else out

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cueflow.operators import discovery as d
+from cueflow.operators import planning as pl
 from cueflow.operators import reporting as r
+from cueflow.operators import sequence as seq
+from cueflow.operators import timing as t
 from cueflow.plans import views as v
 from cueflow.plans.discovery import FILES_SQL, inventory
 from cueflow.plans.registry import register
+from cueflow.sources import edge
 from cueflow.sources.tables import table
 
 
@@ -126,3 +130,74 @@ def external_contributions(spark, sf_dir):
     named = lambda df, folder: df.select(F.concat("book", F.lit("_"), "p_partkey").alias("name"), F.concat(F.lit(folder), "p_partkey").alias("path"))
     texts = named(p, "/t/").unionByName(p.select(F.concat("book", F.lit("_x")).alias("name"), F.lit("/no").alias("path"))).unionByName(p.select("book", F.lit("/no").alias("path")).toDF("name", "path"))
     return d.external_contributions(texts, named(p.where("p_size % 2 = 0"), "/c/"), p.where("book < 'B6'").select("book"))
+
+
+@register("coverage_gaps_partial", "select doc_id, source, c.conv_id is not null as has_partial from documents anti join labels using (doc_id) left join (select distinct conv_id from conversations) c on doc_id = c.conv_id")
+def coverage_gaps_partial(spark, sf_dir):
+    """Covered documents without label, and whether a conversation of the number exists."""
+    partial = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"))
+    return t.gaps_with_partial(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels").select("doc_id"), partial, ["doc_id"])
+
+
+@register("overview_filtered", "select source, lang, count(*) filter (where toxic = 1) as low from documents join labels using (doc_id) where upper(lang) = 'EN' group by all having count(*) filter (where toxic = 1) >= 1")
+def overview_filtered(spark, sf_dir):
+    """Overview rows of one file set with low words."""
+    q = table(spark, sf_dir, "documents").select("doc_id", "source", "lang").join(table(spark, sf_dir, "labels"), "doc_id")
+    return t.overview_filtered(q.groupBy("source", "lang").agg(F.count_if(F.col("toxic") == 1).alias("low")), "low", 1, "En", "lang")
+
+
+@register("interpolated_starts", f"with {v.VERSES}, e as (select user_id as chapter, max(cast(floor(value) as bigint)) as last from events group by 1), p as (select chapter, verse, n_words, cast(sum(n_words) over (partition by chapter order by verse) - n_words as bigint) as prior, cast(sum(n_words) over (partition by chapter) as bigint) as total from v_verses) select p.chapter, verse, case when total > 0 then (2 * coalesce(last, 0) * prior + total) // (2 * total) else 0 end as start from p left join e on p.chapter = e.chapter")
+def interpolated_starts(spark, sf_dir):
+    """Verse starts in proportion to words, up to the last segment's end."""
+    ends = table(spark, sf_dir, "events").select(F.col("user_id").alias("chapter"), F.floor("value").cast("bigint").alias("end"))
+    return seq.interpolated(v.verses(spark, sf_dir), ["chapter"], ["verse"], "n_words", ends).select("chapter", "verse", "start")
+
+
+@register("stitched_frames", "with c as (select p_partkey, p_size * 100 as total, unnest(generate_series(0, cast(greatest(1, ceil((p_size * 100 - 200) / 800.0)) as bigint) - 1)) as k from part), d as (select p_partkey, k, least(k * 800 + 1000, total) - k * 800 as samples from c) select p_partkey, cast(sum(samples // 20 - case when k = 0 then 0 else cast(floor((samples // 20) * least(200, samples) / samples) as bigint) end) as bigint) as n_frames, count(*) as n_chunks from d group by p_partkey")
+def stitched_frames(spark, sf_dir):
+    """Frames of chunked samples, of which later chunks lose their overlap's share."""
+    c = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 100).alias("total")).withColumn("chunks", pl.sample_chunks("total", 1000, 200))
+    made = F.transform("chunks", lambda x: F.struct(x.k.alias("k"), x.samples.alias("samples"), F.array_repeat(F.lit(0), (x.samples / 20).cast("int")).alias("frames")))
+    c = c.withColumn("framed", made)
+    return c.select("p_partkey", F.size(pl.stitched_frames("framed", 200)).cast("bigint").alias("n_frames"), F.size("chunks").cast("bigint").alias("n_chunks"))
+
+
+@register("resampled_vectors", "with x as (select vec_id, list_transform(embedding, lambda v: cast(v as double)) as x, len(embedding) * 2 // 3 as n from embeddings) select vec_id, n, cast(round(list_sum(list_transform(generate_series(0, n - 1), lambda i: x[(3 * i) // 2 + 1] + (x[least((3 * i) // 2 + 2, len(x))] - x[(3 * i) // 2 + 1]) * (i * 1.5 - (3 * i) // 2))) * 1000) as bigint) as total from x")
+def resampled_vectors(spark, sf_dir):
+    """Vectors at two thirds of their rate: length and sum in thousandths."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", edge.resampled("embedding", 3, 2).alias("r"))
+    return e.select("vec_id", F.size("r").cast("bigint").alias("n"), F.round(F.aggregate("r", F.lit(0.0), lambda s, x: s + x) * 1000).cast("bigint").alias("total"))
+
+
+@register("valid_tags", f"with {FILES_SQL} select canon, iso, distinct_id, path from files where kind = 'text' and fileset = case when iso < 'i2' then 'T_ET' else 'T_NT' end")
+def valid_tags(spark, sf_dir):
+    """Texts whose tag their version can have."""
+    f = inventory(spark, sf_dir).where("kind = 'text'").withColumn("full", F.col("fileset"))
+    expected = f.select("iso", F.when(F.col("iso") < "i2", "ET").otherwise("NT").alias("tag")).distinct()
+    named = f.withColumn("fileset", F.split_part("full", F.lit("_"), F.lit(2)))
+    return d.with_valid_tags(named, expected, ["iso"], True).select("canon", "iso", "distinct_id", "path")
+
+
+@register("redo_collapsed", f"with {FILES_SQL}, done as (select distinct canon, iso, distinct_id, book, chapter, fileset as audio_fileset from files where kind = 'audio' and chapter % 3 = 0) select * from done where chapter % 5 <> 0")
+def redo_collapsed(spark, sf_dir):
+    """Outputs that count as done when collapsed ones are made again."""
+    done = inventory(spark, sf_dir).where("kind = 'audio' and chapter % 3 = 0").select(*d.CHAPTER, F.col("fileset").alias("audio_fileset")).distinct()
+    return d.redone(done, done.where("chapter % 5 = 0"), [*d.CHAPTER, "audio_fileset"])
+
+
+@register("verse_access", "select doc_id, case when doc_id % 2 = 0 then 1 else 3 end as verse, string_split(rtrim(text, chr(10)), chr(10))[case when doc_id % 2 = 0 then 1 else 3 end] as text from documents")
+def verse_access(spark, sf_dir):
+    """The first or third line of each document, null beyond its end."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", r"\n+\z", "").alias("text"))
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text")).select("doc_id", (F.col("pos") + 1).alias("verse"), "text")
+    return d.verse_line(lines, docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 1).otherwise(3).alias("verse")), ["doc_id"])
+
+
+@register("import_plan", "select c_custkey as chapter, concat_ws(',', case when c_nationkey % 2 = 0 and c_custkey % 3 > 0 then 'copy audio' end, case when c_custkey % 5 > 0 then 'copy text' end, case when c_nationkey % 4 = 0 then 'convert times' end) as actions from customer where (c_nationkey % 2 = 0 and c_custkey % 3 > 0) or c_custkey % 5 > 0 or c_nationkey % 4 = 0")
+def import_plan(spark, sf_dir):
+    """What an import of contributed chapters would do."""
+    c = table(spark, sf_dir, "customer").withColumn("chapter", F.col("c_custkey"))
+    path = lambda cond, name: F.when(F.expr(cond), F.lit("/p")).alias(name)
+    pairs = c.select("chapter", path("c_nationkey % 2 = 0", "audio_path"), path("true", "text_path"), path("c_nationkey % 4 = 0", "times_path"))
+    there = c.where("c_custkey % 3 = 0").select("chapter", F.lit("audio").alias("kind")).unionByName(c.where("c_custkey % 5 = 0").select("chapter", F.lit("text").alias("kind")))
+    return d.import_plan(pairs, there, ["chapter"]).select("chapter", F.array_join("actions", ",").alias("actions"))

@@ -68,3 +68,17 @@ def mono(channels: str) -> Column:
     """Mean of the channels, sample by sample (array of equally long arrays)."""
     c = F.col(channels)
     return F.transform(F.get(c, F.lit(0)), lambda _, i: F.aggregate(c, F.lit(0.0), lambda s, ch: s + F.get(ch, i)) / F.size(c))
+
+
+def resampled(samples: str, rate: int, to: int) -> Column:
+    """Samples at another rate, by linear interpolation; the last value holds to the end."""
+    x = F.transform(F.col(samples), lambda v: v.cast("double"))
+    n = F.floor(F.size(x) * F.lit(to) / F.lit(rate)).cast("int")
+
+    def at(i: Column) -> Column:
+        place = i * F.lit(rate) / F.lit(to)
+        low = F.floor(place).cast("int")
+        a, b = F.get(x, low), F.get(x, F.least(low + 1, F.size(x) - 1))
+        return a + (b - a) * (place - low)
+
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<double>"))

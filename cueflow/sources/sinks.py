@@ -122,3 +122,8 @@ def without_bad(outputs: DataFrame, bad: DataFrame, keys: Keys, confirm: bool =
 def import_new(rows: DataFrame, existing: DataFrame, keys: Keys) -> DataFrame:
     """What an import would copy: rows whose target is missing."""
     return rows.join(existing.select(*keys), keys, "left_anti")
+
+
+def run_rows(results: DataFrame, batch_id: str, completed_at: str) -> DataFrame:
+    """The run manifest as rows, one a result, for runs of any size; ``run_manifest`` gathers those of a small one."""
+    return results.select(F.lit(batch_id).alias("batch_id"), F.lit(completed_at).alias("completed_at"), "*")
