@@ -84,12 +84,7 @@ def json_tokenizer(name: str) -> Tokenizer:
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
-def encode_ranks(text: str, name: str) -> np.ndarray:
-    """Ids as the rank library gives them, without special tokens."""
-    return np.array(rank_encoding(name).encode_ordinary(text), np.uint32)
-
-
-def encode_json(text: str, name: str = "byte_bpe_50k.json") -> np.ndarray:
+def json_ids(text: str, name: str = "byte_bpe_50k.json") -> list[int]:
     """Ids as the tokenizers library gives them for byte_bpe_50k.json.
 
     The same vocabulary exists as ranks, which a faster library reads. It is
@@ -97,8 +92,12 @@ def encode_json(text: str, name: str = "byte_bpe_50k.json") -> np.ndarray:
     with the added token's string, go through the tokenizers library itself.
     """
     if END_OF_TEXT[0] in text or _PLAIN.search(text):
-        return np.array(json_tokenizer(name).encode(text, add_special_tokens=False).ids, np.uint32)
-    return encode_ranks(text, name.replace(".json", ".tiktoken"))
+        return json_tokenizer(name).encode(text, add_special_tokens=False).ids
+    return rank_encoding(name.replace(".json", ".tiktoken")).encode_ordinary(text)
+
+
+def encode_json(text: str, name: str = "byte_bpe_50k.json") -> np.ndarray:
+    return np.array(json_ids(text, name), np.uint32)
 
 
 def _byte_offsets(text: str) -> Callable[[int], int]:

@@ -15,17 +15,21 @@ sequences whose lengths are powers of two, which need no padding.
 Null text is empty text: one id, the end-of-document id. Repeated rows are
 packed each by itself. Very long documents run through as many windows as they
 need. An empty table gives an empty result. Documents of a hot minimum are told
-apart by the next ones, then by their text, and copies of one text by row.
+apart by the next ones, then by their text, and copies of one text by row. Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,7 +151,7 @@ class Index:
 def pack(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None = None) -> list[Piece]:
     """Pieces of all documents of a shard; each id lies in exactly one, windows are full but for the end."""
     stats = stats or Stats.of(docs)
-    live = np.arange(len(docs))  # documents of the index; it is built again when half of them are used
+    live = np.arange(len(docs))  # documents of the index; it is built again when three tenths of them are used
     index, unused = Index(docs, stats), np.ones(len(docs), bool)
     order: list[tuple[int, int, int]] = []  # document, start, length in the line of windows
     room, seed, ahead, rest = window, 0, iter(()), None
@@ -188,7 +192,7 @@ def pack(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None = Non
         if start < len(docs[d]):
             rest = (d, start)
         elif fresh_window and room < window:
-            if 2 * int(unused[live].sum()) < len(live):
+            if 10 * int(unused[live].sum()) < 7 * len(live):
                 live = np.flatnonzero(unused)
                 index = Index([docs[k] for k in live], stats)
             ahead = (int(live[k]) for k in index.neighbours(distinct(docs[d]), unused[live]))
@@ -231,44 +235,60 @@ def splitters(lines: list[bytes], shards: int) -> np.ndarray:
     return np.unique(held[(np.arange(1, shards) * len(held)) // shards]) if len(held) else held
 
 
-def statistics(rows: DataFrame) -> Stats:
-    """Statistics of all documents from their ids; what reaches the driver is one row for each id that occurs."""
+def written_ids(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> tuple[DataFrame, Stats]:
+    """Ids of all documents (id, ids, size, tie), written, and their statistics.
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, n, total = np.zeros(IDS, np.int64), 0, 0
+    Each task counts what it encodes and adds its counts as one more row; they
+    are summed in Spark, and at most 32 vectors reach the driver. Ids of
+    documents stay in Arrow, so their type and value do not matter.
+    """
+    lengths = tokenizer.replace(".json", ".tiktoken")
+    if len(bpe.byte_lengths(lengths)) > IDS:
+        raise ValueError(f"{tokenizer} has more than {IDS} ids")
+    names = ["id", "ids", "size", "tie", "counts"]
+
+    def encoded(text: str) -> bytes:
+        if len(text) <= bpe.CHUNK_CHARS:
+            ids = bpe.json_ids(text, tokenizer)
+        else:
+            ids = bpe.encode_overlapping(text, lambda s: bpe.encode_json(s, tokenizer), bpe.byte_lengths(lengths)).tolist()
+        ids.append(END_ID)
+        return array("H", ids).tobytes()  # 16 bits each
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, total, kinds = np.zeros(IDS, np.int64), 0, 0, []
         for batch in batches:
-            own = Stats.of([np.frombuffer(x, np.uint16) for x in batch["ids"]])
-            df, n, total = df + own.df, n + own.n, total + round(own.mean * own.n)
+            ids = [encoded(t) for t in batch.column("text").to_pylist()]
+            own = Stats.of([np.frombuffer(x, np.uint16) for x in ids])
+            df, n, total = df + own.df, n + own.n, total + sum(map(len, ids)) // 2
+            kinds = [batch.schema.field(c).type for c in ("id", "size", "tie")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary()), batch.column("size"), batch.column("tie"), pa.nulls(len(ids), pa.binary())], names=names)
         if n:
-            at = np.flatnonzero(df)
-            yield pd.DataFrame({"term": np.append(at, [-1, -2]), "n": np.append(df[at], [n, total])})
+            counts = pa.array([np.append(df, [n, total]).tobytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds[0]), pa.nulls(1, pa.binary()), pa.nulls(1, kinds[1]), pa.nulls(1, kinds[2]), counts], names=names)
 
-    got = {r.term: r.n for r in rows.select("ids").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    n, total = got.pop(-1, 0), got.pop(-2, 0)
-    df = np.zeros(IDS, np.int64)
-    df[list(got.keys())] = list(got.values())
-    return Stats(n, total / max(1, n), df)
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"counts": [sum((np.frombuffer(x, np.int64) for x in pdf["counts"]), np.zeros(IDS + 2, np.int64)).tobytes()]})
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    tie = F.xxhash64(F.monotonically_increasing_id())
+    source = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"), (F.octet_length(text_of(text_col)) + 16).cast("long").alias("size"), tie.alias("tie"))
+    all_ = stash(source.mapInArrow(encode, f"id {kind}, ids binary, size long, tie long, counts binary"))
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(32)).cast("int")
+    parts = all_.where("counts is not null").select("counts", part.alias("part")).groupBy("part").applyInPandas(added, "counts binary").collect()
+    sums = sum((np.frombuffer(r.counts, np.int64) for r in parts), np.zeros(IDS + 2, np.int64))
+    n, total = int(sums[-2]), int(sums[-1])
+    return all_.where("counts is null").drop("counts"), Stats(n, total / max(1, n), sums[:IDS])
 
 
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, tokenizer: str = TOKENIZER) -> DataFrame:
     """Pieces: id, start, length, ids_crc32, doc_tokens, sequence_id, offset. The ids are written once and shuffled once."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    lengths = tokenizer.replace(".json", ".tiktoken")
-    if len(bpe.byte_lengths(lengths)) > IDS:
-        raise ValueError(f"{tokenizer} has more than {IDS} ids")
-
-    @F.pandas_udf("binary")
-    def ids(texts: pd.Series) -> pd.Series:
-        one = lambda t: bpe.encode_overlapping(t, lambda s: bpe.encode_json(s, tokenizer), bpe.byte_lengths(lengths))
-        return pd.Series([np.append(one(t), END_ID).astype(np.uint16).tobytes() for t in texts])  # ids are below 2**16
-
-    tie = F.xxhash64(F.monotonically_increasing_id())
-    rows = stash(docs.select(F.col(f"`{id_col}`").alias("id"), ids(text_of(text_col)).alias("ids"), (F.octet_length(text_of(text_col)) + 16).cast("long").alias("size"), tie.alias("tie")))
+    rows, stats = written_ids(docs, id_col, text_col, tokenizer)
     total = rows.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     ranges = min(shards, MAX_RANGES)
-    stats = statistics(rows)
     held = spark.sparkContext.broadcast((stats, stats.ranks()))
 
     def keys(ids: pd.Series, ties: pd.Series) -> list[bytes]:
@@ -292,48 +312,53 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     rows = rows.select("id", "ids", placed("ids", "tie").alias("at")).select("id", "ids", "at.line", "at.range")
     parts = min(ranges, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // SHARDS_PER_TASK)))
     rows = rows.repartition(parts, "range").sortWithinPartitions("range", "line", "id")
+    names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, last = 0, -1
         for number, part in _shards(batches, SHARD_BYTES):
             at, last = (at, last) if number == last else (0, number)
-            docs = [np.frombuffer(x, np.uint16) for x in part["ids"]]
+            docs = [np.frombuffer(x, np.uint16) for x in part.column("ids").to_pylist()]
             pieces = pack(docs, window, held.value[0])
-            crc = [zlib.crc32(docs[d][a : a + n].astype("<u4").tobytes()) for d, a, n, _, _ in pieces]
+            crc = np.array([zlib.crc32(docs[d][a : a + n].astype("<u4").tobytes()) for d, a, n, _, _ in pieces], np.int64)
             d, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
-            yield pd.DataFrame({
-                id_col: part["id"].iloc[d].to_numpy(), "start": start, "length": length, "ids_crc32": crc,
-                "doc_tokens": np.array([len(x) for x in docs], np.int64)[d], "sequence_id": (int(number) << 40) + at + sequence, "offset": offset,
-            })
+            numbers = (start, length, crc, np.array([len(x) for x in docs], np.int64)[d], (number << 40) + at + sequence, offset)
+            ids = pa.concat_arrays(part.column("id").chunks).take(pa.array(d))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(x) for x in numbers)], names=names)
             at += int(sequence[-1]) + 1
 
-    return rows.mapInPandas(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-def _shards(batches: Iterator[pd.DataFrame], most: int) -> Iterator[tuple[int, pd.DataFrame]]:
+def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, pa.Table]]:
     """Shard after shard, with its range, from batches sorted by range and line; a range of more than ``most`` bytes of ids is cut into several."""
-    held: list[pd.DataFrame] = []
-    size = 0
+    held: list[pa.RecordBatch] = []
+    size, number = 0, -1
 
-    def taken(limit: int) -> pd.DataFrame:
+    def taken(limit: int) -> pa.Table:
         """The first rows of what is held, up to ``limit`` bytes and at least one."""
         nonlocal held, size
-        rows = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
-        bytes_ = rows["ids"].map(len).to_numpy()
-        n = max(1, int(np.searchsorted(np.cumsum(bytes_), limit, side="right")))
-        held, size = ([rows.iloc[n:]] if n < len(rows) else []), int(bytes_[n:].sum())
-        return rows.iloc[:n]
+        rows = pa.Table.from_batches(held)
+        lengths = pc.binary_length(rows.column("ids")).to_numpy().astype(np.int64)
+        n = max(1, int(np.searchsorted(np.cumsum(lengths), limit, side="right")))
+        held, size = rows.slice(n).to_batches(), int(lengths[n:].sum())
+        return rows.slice(0, n)
 
     for batch in batches:
-        for number, part in batch.groupby("range", sort=True):
-            if held and held[0]["range"].iloc[0] != number:
-                yield int(held[0]["range"].iloc[0]), taken(size)
+        if not batch.num_rows:
+            continue
+        ranges = batch.column("range").to_numpy()
+        cuts = [0, *(np.flatnonzero(ranges[1:] != ranges[:-1]) + 1).tolist(), len(ranges)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and number != ranges[lo]:
+                yield number, taken(size)
+            number, part = int(ranges[lo]), batch.slice(lo, hi - lo)
             held.append(part)
-            size += int(part["ids"].map(len).sum())
-            while size > most and sum(map(len, held)) > 1:
-                yield int(number), taken(most // 2)
+            size += int(pc.sum(pc.binary_length(part.column("ids"))).as_py())
+            while size > most and sum(x.num_rows for x in held) > 1:
+                yield number, taken(most // 2)
     if held:
-        yield int(held[0]["range"].iloc[0]), taken(size)
+        yield number, taken(size)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ LIMIT = 512
 def count_tokens(text: str, tokenizer: str = TOKENIZER, chunk: int = bpe.CHUNK_CHARS, overlap: int = bpe.OVERLAP_CHARS) -> int:
     """Tokens of one text, as the tokenizers library counts them."""
     if len(text) <= chunk:
-        return len(bpe.encode_json(text, tokenizer))
+        return len(bpe.json_ids(text, tokenizer))
     lengths = bpe.byte_lengths(tokenizer.replace(".json", ".tiktoken"))
     return len(bpe.encode_overlapping(text, lambda s: bpe.encode_json(s, tokenizer), lengths, chunk, overlap))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 
 from cueflow.llm import packing
@@ -83,3 +85,10 @@ def test_large_ranges_are_cut(spark, monkeypatch):
         assert at <= 2048 and at & (at - 1) == 0
     assert sum(r.length for r in out) == sum({r.doc_id: r.doc_tokens for r in out}.values())
     assert len({r.doc_id for r in out}) == 300 and sum(n & (n - 1) == 0 and n < 2048 for n in (sum(x for _, x in p) for p in by.values())) > 5
+
+
+def test_ids_of_documents_keep_their_values(spark):
+    """Nulls beside large numbers, and ids of other types."""
+    for kind, ids in (("long", [None, 2**62 + 1, -(2**63), 7]), ("string", [None, "x", "", "é"]), ("decimal(30,2)", [None, *map(Decimal, ("1.25", "12345678901234567890.5", "0"))])):
+        df = spark.createDataFrame([(i, "some words here") for i in ids], f"doc_id {kind}, text string")
+        assert {r.doc_id for r in packing.packed(df).collect()} == {r.doc_id for r in df.collect()}
