@@ -26,7 +26,6 @@ from .common import documents, fresh, text_of
 
 #: Fixed value: the white space that parts words.
 SPACE = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Labelled rows that the list is learned from at most, those whose ids hash lowest.
 LABELLED = 6000
@@ -49,7 +48,7 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, s
     text = F.col(raw)
     out = df.withColumn(raw, text_of(text_col))
     # what is neither a lower-case ASCII letter nor a space: the characters that are counted, in a short string
-    out = out.withColumn(rest, F.translate(text, "abcdefghijklmnopqrstuvwxyz ", ""))
+    out = out.withColumn(rest, F.regexp_replace(text, "[a-z ]+", ""))
     trimmed = F.btrim(text, F.lit(SPACE))
     out = out.withColumn(words, F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[ \t-\r]+")))
     w = F.col(words)
@@ -58,7 +57,7 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, s
     t = F.col(tri)
     twice = F.size(F.array_distinct(t)) < F.size(t)
     # a column of its own: inside a lambda an expression is evaluated for each element
-    out = out.withColumn(sorted_, F.when(twice, F.array_sort(F.transform(t, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    out = out.withColumn(sorted_, F.when(twice, F.sort_array(F.arrays_zip(t.alias("h"), F.sequence(F.lit(0), F.size(t) - 1).alias("i")))))
     pairs = F.col(sorted_)
     hits = F.filter(
         F.transform(pairs, lambda p, k: F.when((F.get(pairs, k - 1).h == p.h) | (F.get(pairs, k + 1).h == p.h), p.i)),
@@ -67,18 +66,18 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, s
     covered = F.size(F.array_distinct(F.flatten(F.transform(hits, lambda i: F.array(i, i + 1, i + 2)))))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
     short = F.col(rest)
-    count = lambda chars: F.length(short) - F.length(F.translate(short, chars, ""))
+    count = lambda chars: F.octet_length(short) - F.octet_length(F.regexp_replace(short, f"[{chars}]+", ""))  # noqa: E731  (ASCII characters)
     counts = {
         "n_words": F.size(w),
-        "word_chars": F.length(F.replace(text, F.lit(" "), F.lit(""))) - count(SPACE[1:]),
-        "n_symbols": count(SYMBOLS),
+        "word_chars": F.length(F.replace(text, F.lit(" "), F.lit(""))) - count(r"\t-\r"),
+        "n_symbols": count("#*$%&|<>"),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": F.when(pairs.isNull(), F.lit(0)).otherwise(covered),
         "n_lines": F.size(lines),
-        "n_upper": count("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        "n_upper": count("A-Z"),
         "n_marks": count("!?"),
         "n_bars": count("|"),
-        "n_digits": count("0123456789"),
+        "n_digits": count("0-9"),
         "n_stops": count("."),
         "n_distinct": F.size(F.array_distinct(w)),
     }
