@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cueflow.session import ship
 
 #: Rows and bytes in one Arrow batch at most; with whole texts in a batch this bounds a Python worker's memory.
-BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 512, 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

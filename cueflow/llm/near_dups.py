@@ -60,7 +60,7 @@ COUNTERS = 1 << 14
 #: Rows wanted from the documents are broadcast up to this number, else joined with a shuffle.
 BROADCAST_ROWS = 400_000
 #: Word hashes kept in a worker at a time.
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 15
 
 
 class _WordHashes(dict):
